@@ -12,6 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIMENSIONS = 256
 MAX_QUESTIONS = 4096
@@ -26,7 +27,7 @@ def token_vector(text: str | None) -> np.ndarray:
     return vector
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def embed(texts: pd.Series) -> pd.Series:
     return texts.map(token_vector)
 
@@ -55,6 +56,17 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
+def _best_rows(scores: np.ndarray, order_key: np.ndarray, k: int) -> list[np.ndarray]:
+    """Row numbers of the k best scores per column; only rows at or above the k-th score are sorted."""
+    n = len(scores)
+    floor = np.partition(scores, n - k, axis=0)[n - k] if n > k else np.full(scores.shape[1], -np.inf)
+    best = []
+    for j in range(scores.shape[1]):
+        rows = np.flatnonzero(scores[:, j] >= floor[j])
+        best.append(rows[np.lexsort((order_key[rows], -scores[rows, j]))[:k]])
+    return best
+
+
 def top_k(index: DataFrame, key: str, vector: str, questions: dict[str, list[float]], k: int) -> DataFrame:
     """``(question, key, score)``: the k nearest vectors of every question, exactly.
 
@@ -74,7 +86,7 @@ def top_k(index: DataFrame, key: str, vector: str, questions: dict[str, list[flo
             scores = np.round(_unit(_matrix(batch.column(1), width)) @ unit_q.T, 6)
             keys = batch.column(0)
             order_key = np.asarray(keys.to_pandas())
-            picks = [np.lexsort((order_key, -scores[:, j]))[:k] for j in range(len(names))]
+            picks = _best_rows(scores, order_key, k)
             flat = np.concatenate(picks)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n for n, p in zip(names, picks) for _ in p], pa.string()), keys.take(pa.array(flat)),

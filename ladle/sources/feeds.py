@@ -32,7 +32,14 @@ def _change(op: str, seq: int, **values: Column) -> Column:
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log of orders: inserts, resent inserts, updates, deletes, re-inserts (csn orders a key)."""
+    return order_changes_of(table(spark, sf_dir, "orders"))
+
+
+def order_changes_of(orders: DataFrame) -> DataFrame:
+    """Change log of orders: inserts, resent inserts, updates, deletes, re-inserts (csn orders a key).
+
+    Every order explodes into its own changes, in one pass; batch or streaming alike.
+    """
     k = F.col("o_orderkey")
     price = F.col("o_totalprice").cast("decimal(18,2)")
     amount = F.when(k % 89 == 5, -price).otherwise(price)
@@ -49,8 +56,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 55 == 0, change("U", 4, 250)),
     ))
     return (
-        table(spark, sf_dir, "orders")
-        .select(
+        orders.select(
             k.alias("order_no"),
             (F.col("o_custkey") % 3).alias("owner"),
             F.when(k % 113 != 9, F.col("o_custkey")).alias("cust_no"),
@@ -95,7 +101,10 @@ _META = ["op_type", "csn", "changed_at"]
 
 def order_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """One frame per ERP order table, keyed by its Bronze name."""
-    ch = order_changes(spark, sf_dir)
+    return order_feeds_of(order_changes(spark, sf_dir))
+
+
+def order_feeds_of(ch: DataFrame) -> dict[str, DataFrame]:
     k, c = F.col("order_no"), F.col("cust_no")
     sap = ch.filter("owner = 0").select(
         F.concat(F.lit("00"), (k + 4000000).cast("string")).alias("VBELN"),
