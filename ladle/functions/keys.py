@@ -22,7 +22,9 @@ def hash_key(system: Column | str, *parts: Column | str) -> Column:
     """
     cols = [_col(system), *[_col(p).cast("string") for p in parts]]
     complete = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
-    return F.when(complete, F.sha2(F.concat_ws("|", *cols), 256))
+    # SHA-256 of a string is never NULL; saying so lets Spark decide ``hk IS NOT NULL`` from the
+    # parts alone instead of hashing every row once more inside the filter.
+    return F.when(complete, F.coalesce(F.sha2(F.concat_ws("|", *cols), 256), F.lit("")))
 
 
 def content_hash(columns: list[str]) -> Column:

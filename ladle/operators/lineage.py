@@ -12,7 +12,7 @@ def downstream(edges: DataFrame, start: str) -> DataFrame:
     """Tables that depend on ``start``, with the shortest distance, by a recursive query."""
     spark = edges.sparkSession
     edges.select("src_table", "tgt_table").distinct().createOrReplaceTempView("ladle_table_edges")
-    return spark.sql(
+    reach = spark.sql(
         f"""
         WITH RECURSIVE walk(table_name, depth) AS (
             SELECT tgt_table, 1 FROM ladle_table_edges WHERE src_table = :start
@@ -25,6 +25,8 @@ def downstream(edges: DataFrame, start: str) -> DataFrame:
         """,
         args={"start": start},
     )
+    spark.catalog.dropTempView("ladle_table_edges")  # the plan above is resolved already
+    return reach
 
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:

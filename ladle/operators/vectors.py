@@ -3,33 +3,49 @@
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIMENSIONS = 256
 MAX_QUESTIONS = 4096
-_TOKEN = re.compile(r"[a-z0-9]+")
+NOT_TOKEN = "[^a-z0-9]+"
+TEXTS_AT_ONCE = 1024
 
 
-def token_vector(text: str | None) -> np.ndarray:
-    """Term counts in 256 buckets; a token's bucket is the second byte of its MD5."""
-    vector = np.zeros(DIMENSIONS, dtype=np.float32)
-    for token, n in Counter(_TOKEN.findall((text or "").lower())).items():
-        vector[hashlib.md5(token.encode()).digest()[1]] += n
-    return vector
+def token_matrix(texts: pa.Array) -> np.ndarray:
+    """Term counts in 256 hash buckets, one row per text; a token's bucket is the second byte of its MD5.
+
+    Tokens are runs of ASCII letters and digits. Splitting, counting and de-duplication are
+    columnar; only distinct tokens are hashed.
+    """
+    lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), NOT_TOKEN)
+    owner = np.asarray(pc.list_parent_indices(lists))
+    words = pc.list_flatten(lists).dictionary_encode()
+    buckets = np.array([hashlib.md5(w.encode()).digest()[1] if w else -1 for w in words.dictionary.to_pylist()],
+                       dtype=np.int64)
+    bucket = buckets[np.asarray(words.indices)] if len(buckets) else np.zeros(0, dtype=np.int64)
+    real = bucket >= 0
+    cells = np.bincount(owner[real] * DIMENSIONS + bucket[real], minlength=len(texts) * DIMENSIONS)
+    return cells.reshape(len(texts), DIMENSIONS).astype(np.float32)
+
+
+def token_vector(text: str) -> np.ndarray:
+    return token_matrix(pa.array([text], pa.string()))[0]
 
 
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def embed(texts: pd.Series) -> pd.Series:
-    return texts.map(token_vector)
+    rows: list[np.ndarray] = []
+    for start in range(0, len(texts), TEXTS_AT_ONCE):
+        rows.extend(token_matrix(pa.array(texts.iloc[start:start + TEXTS_AT_ONCE], pa.string())))
+    return pd.Series(rows, index=texts.index, dtype=object)
 
 
 def embed_column(text: Column | str) -> Column:

@@ -119,7 +119,16 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderdate") >= as_of - F.expr("INTERVAL '365' DAY")).alias("recent"))
 
 
-@query("bronze_envelope")
+@query("bronze_envelope", with_parts(CHANGES, f"""
+SELECT VBELN, KUNNR, CAST(amount AS DOUBLE) AS NETWR, WAERK, ERDAT, MATNR, op_type, csn, strftime(at_ts, '{TS}') AS changed_at,
+       'SAP' AS _source_system, '2001-08-01 06:00:00' AS _ingest_ts, 'batch-1' AS _batch_id, op_type AS _op_type, csn AS _seq,
+       '{{' || concat_ws(',', '"VBELN":"' || VBELN || '"', '"KUNNR":"' || KUNNR || '"', '"NETWR":' || CAST(amount AS VARCHAR),
+         '"WAERK":"' || WAERK || '"', '"ERDAT":"' || ERDAT || '"', '"MATNR":"' || MATNR || '"', '"op_type":"' || op_type || '"',
+         '"csn":' || CAST(csn AS VARCHAR), '"changed_at":"' || strftime(at_ts, '%Y-%m-%dT%H:%M:%S.%g') || '"') || '}}' AS _raw,
+       op_type = 'D' AS is_deleted
+FROM (SELECT '00' || CAST(k + 4000000 AS VARCHAR) AS VBELN, 'EU' || lpad(CAST(c AS VARCHAR), 12, '0') AS KUNNR, amount,
+             ccy AS WAERK, CAST(od AS VARCHAR) AS ERDAT, 'MAT-' || CAST(k % 6 AS VARCHAR) AS MATNR, op AS op_type,
+             CAST(csn AS BIGINT) AS csn, at_ts FROM chg WHERE owner = 0)"""))
 def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed orders of one system with the envelope; the raw row is JSON text."""
     feed = feeds.order_feeds(spark, sf_dir)["bronze.sap.vbak"]

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def tables(spark: SparkSession, database: str) -> DataFrame:
-    rows = [(database, t.name, t.tableType, t.description) for t in spark.catalog.listTables(database)]
+    rows = [(database, t.name, t.tableType, t.description) for t in spark.catalog.listTables(database)
+            if not t.isTemporary]
     return spark.createDataFrame(rows, "table_schema string, table_name string, table_type string, comment string")
 
 

@@ -26,11 +26,6 @@ def _pad(key: Column) -> Column:
     return F.lpad(key.cast("string"), KEY_WIDTH, "0")
 
 
-def _change(op: str, seq: int, **values: Column) -> Column:
-    return F.struct(F.lit(op).alias("op_type"), F.lit(seq).cast("long").alias("csn"),
-                    *[v.alias(k) for k, v in values.items()])
-
-
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_changes_of(table(spark, sf_dir, "orders"))
 
@@ -40,31 +35,25 @@ def order_changes_of(orders: DataFrame) -> DataFrame:
 
     Every order explodes into its own changes, in one pass; batch or streaming alike.
     """
-    k = F.col("o_orderkey")
+    k, step = F.col("o_orderkey"), F.col("csn")
     price = F.col("o_totalprice").cast("decimal(18,2)")
     amount = F.when(k % 89 == 5, -price).otherwise(price)
-
-    def change(op: str, seq: int, delta: int) -> Column:
-        return _change(op, seq, amount=(amount + F.lit(delta)).cast("decimal(18,2)"),
-                       changed_at=F.col("o_orderdate") + F.expr(f"INTERVAL '{seq - 1}' DAY"))
-
-    changes = F.array_compact(F.array(
-        change("I", 1, 0),
-        F.when(k % 71 == 2, change("I", 1, 0)),
-        F.when(k % 5 == 0, change("U", 2, 100)),
-        F.when(k % 11 == 0, change("D", 3, 100)),
-        F.when(k % 55 == 0, change("U", 4, 250)),
-    ))
+    steps = F.array(F.lit(1), F.when(k % 71 == 2, 1), F.when(k % 5 == 0, 2), F.when(k % 11 == 0, 3),
+                    F.when(k % 55 == 0, 4))
+    added = F.when(step == 1, 0).when(step == 4, 250).otherwise(100)
     return (
-        orders.select(
+        orders.withColumn("csn", F.explode(steps)).filter("csn IS NOT NULL")
+        .select(
             k.alias("order_no"),
             (F.col("o_custkey") % 3).alias("owner"),
             F.when(k % 113 != 9, F.col("o_custkey")).alias("cust_no"),
             F.when(k % 97 != 3, _pick(CURRENCIES, k % 5)).alias("currency"),
             F.col("o_orderdate").cast("date").alias("order_date"),
-            F.explode(changes).alias("c"),
+            F.when(step == 1, "I").when(step == 3, "D").otherwise("U").alias("op_type"),
+            step.cast("long").alias("csn"),
+            (amount + added).cast("decimal(18,2)").alias("amount"),
+            (F.col("o_orderdate") + F.make_dt_interval(days=step - 1)).alias("changed_at"),
         )
-        .select("order_no", "owner", "cust_no", "currency", "order_date", "c.*")
     )
 
 
@@ -73,26 +62,20 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, nation = F.col("c_custkey"), F.col("c_nationkey")
     name = F.when(k % 41 != 7, F.col("c_name"))
 
-    def change(op: str, seq: int, new_name: Column) -> Column:
-        at = F.lit("2000-01-01").cast("timestamp_ntz") + F.make_dt_interval(
-            days=((k % 28) + F.lit((seq - 1) * 30)).cast("int"))
-        return _change(op, seq, name=new_name, changed_at=at)
-
-    renamed = F.concat(name, F.lit(" Ltd"))
-    changes = F.array_compact(F.array(
-        change("I", 1, name),
-        F.when(k % 4 == 0, change("U", 2, renamed)),
-        F.when(k % 20 == 0, change("U", 3, renamed)),
-    ))
+    step = F.col("csn")
+    steps = F.array(F.lit(1), F.when(k % 4 == 0, 2), F.when(k % 20 == 0, 3))
+    days = (k % 28).cast("int") + (step - 1) * 30
     letters = F.concat(F.char(F.lit(65) + nation % 26), F.char(F.lit(65) + (nation * 7) % 26))
     return (
-        table(spark, sf_dir, "customer")
+        table(spark, sf_dir, "customer").withColumn("csn", F.explode(steps)).filter("csn IS NOT NULL")
         .select(
             k.alias("cust_no"), (k % 3).alias("owner"), "c_nationkey", "c_mktsegment",
             F.when(k % 53 == 0, F.lit("xx")).otherwise(letters).alias("country"),
-            F.explode(changes).alias("c"),
+            F.when(step == 1, "I").otherwise("U").alias("op_type"),
+            step.cast("long").alias("csn"),
+            F.when(step == 1, name).otherwise(F.concat(name, F.lit(" Ltd"))).alias("name"),
+            (F.lit("2000-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=days)).alias("changed_at"),
         )
-        .select("cust_no", "owner", "c_nationkey", "c_mktsegment", "country", "c.*")
     )
 
 
