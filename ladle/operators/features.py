@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ladle.operators.ordered import previous_value
 from ladle.operators.versions import latest_per_key
 
 WINDOWS = (7, 30, 90, 365)
@@ -52,32 +53,22 @@ def windowed_features(fact: DataFrame, as_of: str) -> DataFrame:
     return out.withColumn("churn_risk_score", F.round(recency * 0.6 + frequency * 0.4, 4))
 
 
-def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, payload: list[str],
-              grain: str = "month") -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
+              payload: list[str]) -> DataFrame:
     """Latest ``right`` row with right_ts <= left_ts for every left row; NULLs where there is none.
 
-    Both sides are stacked and swept once in time order, so no pairs are built. The sweep runs
-    per (key, time slice): a hot key is spread over its slices, and the one value that crosses
-    into a slice is carried by a second, small window.
+    Both sides are stacked and swept once in time order, features first at equal times, so no
+    pairs are built and a hot key is cut into ranges like any other.
     """
-    keep = left.columns
     facts = left.select(F.col(key).alias("_k"), F.col(left_ts).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_side"),
-                        F.struct(*keep).alias("_row"))
+                        F.struct(*left.columns).alias("_row"))
     known = right.select(F.col(key).alias("_k"), F.col(right_ts).cast("timestamp_ntz").alias("_t"),
                          F.lit(0).alias("_side"),
                          F.struct(F.col(right_ts).alias("_matched_ts"), *payload).alias("_val"))
-    stacked = facts.unionByName(known, allowMissingColumns=True).withColumn(
-        "_slice", F.date_trunc(grain, F.col("_t")).cast("timestamp_ntz"))
-    sweep = (Window.partitionBy("_k", "_slice").orderBy("_t", "_side")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = stacked.withColumn("_near", F.last("_val", ignorenulls=True).over(sweep)).filter("_side = 1")
-    ends = stacked.groupBy("_k", "_slice").agg(
-        F.max_by("_val", F.when(F.col("_val").isNotNull(), F.col("_t"))).alias("_end"))
-    before = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select("_k", "_slice", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    hit = F.coalesce("_near", "_carry")
-    return (local.join(carry, ["_k", "_slice"], "left").withColumn("_hit", hit)
-            .select("_row.*", F.col("_hit._matched_ts").alias("matched_ts"), *[F.col(f"_hit.{p}") for p in payload]))
+    stacked = facts.unionByName(known, allowMissingColumns=True)
+    swept = previous_value(stacked, "_k", [F.col("_t"), F.col("_side")], "_val").filter("_side = 1")
+    return swept.select("_row.*", F.col("_previous._matched_ts").alias("matched_ts"),
+                        *[F.col(f"_previous.{p}") for p in payload])
 
 
 def online_snapshot(features: DataFrame, key: str = "customer_hk", ts: str = "feature_ts") -> DataFrame:

@@ -28,14 +28,13 @@ def load_projections(mappings: DataFrame, tgt_table: str) -> list[tuple[str, lis
 
     Read on the driver, because it decides the shape of the plan; the row count is checked.
     """
-    rows = latest_mappings(mappings, "silver", tgt_table).limit(MAX_MAPPING_ROWS + 1).collect()
-    if len(rows) > MAX_MAPPING_ROWS:
+    column = F.struct("tgt_column", F.coalesce("transform_expr", "src_column").alias("expr"), "tgt_type")
+    per_source = (latest_mappings(mappings, "silver", tgt_table).limit(MAX_MAPPING_ROWS + 1)
+                  .groupBy("src_table").agg(F.array_sort(F.collect_list(column)).alias("columns"))
+                  .orderBy("src_table").collect())
+    if sum(len(r["columns"]) for r in per_source) > MAX_MAPPING_ROWS:
         raise ValueError(f"more than {MAX_MAPPING_ROWS} mapping rows for {tgt_table}")
-    by_source: dict[str, list[tuple[str, str, str]]] = {}
-    for r in rows:
-        by_source.setdefault(r["src_table"], []).append(
-            (r["tgt_column"], r["transform_expr"] or r["src_column"], r["tgt_type"]))
-    return sorted((src, sorted(cols)) for src, cols in by_source.items())
+    return [(r["src_table"], [tuple(c) for c in r["columns"]]) for r in per_source]
 
 
 def project(df: DataFrame, columns: list[tuple[str, str, str]], keep: list[str] | None = None) -> DataFrame:

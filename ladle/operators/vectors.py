@@ -115,9 +115,25 @@ def top_k(index: DataFrame, key: str, vector: str, questions: dict[str, list[flo
 
 
 def centroids(df: DataFrame, label: str, vector: str) -> dict[str, list[float]]:
-    """Mean vector per label, by distributed aggregation; the number of labels is checked."""
-    means = (df.select(F.col(label).cast("string").alias("label"), F.posexplode(vector).alias("pos", "x"))
-             .groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    """Mean vector per label. Batches fold to one sum per label, so only sums are shuffled; the
+    number of labels is checked. Vectors must be of one width."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            names, codes = np.unique(np.asarray(batch.column(0).cast(pa.string()).fill_null("")), return_inverse=True)
+            lengths = np.asarray(batch.column(1).value_lengths().fill_null(0))
+            dense = _matrix(batch.column(1), int(lengths.max()))
+            sums = np.zeros((len(names), dense.shape[1]))
+            np.add.at(sums, codes, dense)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(list(sums), pa.list_(pa.float64())), pa.array(np.bincount(codes))],
+                ["label", "total", "n"])
+
+    partial = df.select(F.col(label).cast("string"), vector).mapInArrow(fold, "label string, total array<double>, n bigint")
+    means = (partial.select("label", "n", F.posexplode("total").alias("pos", "x"))
+             .groupBy("label", "pos").agg((F.sum("x") / F.sum("n")).alias("m"))
              .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("v")))
     rows = means.select("label", "v.m").limit(MAX_QUESTIONS + 1).collect()
     if len(rows) > MAX_QUESTIONS:

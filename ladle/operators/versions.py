@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.functions.keys import content_hash, hash_key
+from ladle.operators.ordered import previous_value
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -35,42 +36,16 @@ def current_rows(df: DataFrame, seq: str | None = None) -> DataFrame:
     return latest_per_key(df, ["hk"], [*order, F.col("record_hash")])
 
 
-def neighbour(df: DataFrame, keys: list[str], order: list[str], values: list[str], step: str, grain: str,
-              time: str) -> DataFrame:
-    """Add ``<step>_<value>``: the value in the previous or next row of the key.
-
-    One key's history may be a large share of the table, so it is never ordered as one group.
-    Rows are ordered inside (key, time slice); what crosses a slice border is one row per slice,
-    which is carried over in a second, small window and joined back on the same partitioning.
-    """
-    if step not in ("prev", "next"):
-        raise ValueError(step)
-    back = step == "prev"
-    pick, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
-    slice_key = [*keys, "_slice"]
-    sliced = df.withColumn("_slice", F.date_trunc(grain, F.col(time)).cast("timestamp_ntz"))
-    inner = Window.partitionBy(*slice_key).orderBy(*order)
-    packed = F.struct(*values)
-    local = sliced.withColumn("_near", pick(packed).over(inner))
-    ends = sliced.groupBy(*slice_key).agg(edge(packed, F.struct(*order)).alias("_end"))
-    carry = ends.withColumn(
-        "_carry", pick("_end").over(Window.partitionBy(*keys).orderBy("_slice"))).drop("_end")
-    joined = local.join(carry, slice_key, "left")
-    # The packed struct is never NULL itself: no neighbour means the row sits at a slice border.
-    out = joined.withColumn("_n", F.coalesce("_near", "_carry"))
-    return out.select(*df.columns, *[F.col(f"_n.{v}").alias(f"{step}_{v}") for v in values])
-
-
-def drop_noops(df: DataFrame, order: list[str], grain: str = "month") -> DataFrame:
+def drop_noops(df: DataFrame, order: list[str]) -> DataFrame:
     """Leave out a version whose content equals that of the version before it."""
-    seen = neighbour(df, ["hk"], order, ["record_hash"], "prev", grain, "effective_ts")
-    return seen.filter(~F.col("prev_record_hash").eqNullSafe(F.col("record_hash"))).drop("prev_record_hash")
+    seen = previous_value(df, "hk", [F.col(c) for c in order], "record_hash")
+    return seen.filter(~F.col("_previous").eqNullSafe(F.col("record_hash"))).drop("_previous")
 
 
-def validity_intervals(df: DataFrame, order: list[str], grain: str = "month") -> DataFrame:
+def validity_intervals(df: DataFrame, order: list[str]) -> DataFrame:
     """valid_from / valid_to / is_current derived from the insert-only log."""
-    nxt = neighbour(df, ["hk"], order, ["effective_ts"], "next", grain, "effective_ts")
-    return nxt.withColumnsRenamed({"effective_ts": "valid_from", "next_effective_ts": "valid_to"}).withColumn(
+    following = previous_value(df, "hk", [F.col(c).desc() for c in order], "effective_ts")
+    return following.withColumnsRenamed({"effective_ts": "valid_from", "_previous": "valid_to"}).withColumn(
         "is_current", F.col("valid_to").isNull())
 
 

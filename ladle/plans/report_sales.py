@@ -119,22 +119,35 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderdate") >= as_of - F.expr("INTERVAL '365' DAY")).alias("recent"))
 
 
+_TAIL = """, '"op_type":"' || op || '"', '"csn":' || CAST(csn AS VARCHAR),
+         '"changed_at":"' || strftime(at_ts, '%Y-%m-%dT%H:%M:%S.%g') || '"') || '}'"""
+
+
 @query("bronze_envelope", with_parts(CHANGES, f"""
-SELECT VBELN, KUNNR, CAST(amount AS DOUBLE) AS NETWR, WAERK, ERDAT, MATNR, op_type, csn, strftime(at_ts, '{TS}') AS changed_at,
-       'SAP' AS _source_system, '2001-08-01 06:00:00' AS _ingest_ts, 'batch-1' AS _batch_id, op_type AS _op_type, csn AS _seq,
-       '{{' || concat_ws(',', '"VBELN":"' || VBELN || '"', '"KUNNR":"' || KUNNR || '"', '"NETWR":' || CAST(amount AS VARCHAR),
-         '"WAERK":"' || WAERK || '"', '"ERDAT":"' || ERDAT || '"', '"MATNR":"' || MATNR || '"', '"op_type":"' || op_type || '"',
-         '"csn":' || CAST(csn AS VARCHAR), '"changed_at":"' || strftime(at_ts, '%Y-%m-%dT%H:%M:%S.%g') || '"') || '}}' AS _raw,
-       op_type = 'D' AS is_deleted
-FROM (SELECT '00' || CAST(k + 4000000 AS VARCHAR) AS VBELN, 'EU' || lpad(CAST(c AS VARCHAR), 12, '0') AS KUNNR, amount,
-             ccy AS WAERK, CAST(od AS VARCHAR) AS ERDAT, 'MAT-' || CAST(k % 6 AS VARCHAR) AS MATNR, op AS op_type,
-             CAST(csn AS BIGINT) AS csn, at_ts FROM chg WHERE owner = 0)"""))
+SELECT CASE owner WHEN 0 THEN 'SAP' WHEN 1 THEN 'JDE' ELSE 'QAD' END AS _source_system, '2001-08-01 06:00:00' AS _ingest_ts,
+       'batch-1' AS _batch_id, op AS _op_type, CAST(csn AS BIGINT) AS _seq, op = 'D' AS is_deleted,
+       CASE owner WHEN 0 THEN '{{' || concat_ws(',', '"VBELN":"00' || CAST(k + 4000000 AS VARCHAR) || '"',
+         '"KUNNR":"EU' || lpad(CAST(c AS VARCHAR), 12, '0') || '"', '"NETWR":' || CAST(amount AS VARCHAR),
+         '"WAERK":"' || ccy || '"', '"ERDAT":"' || CAST(od AS VARCHAR) || '"', '"MATNR":"MAT-' || CAST(k % 6 AS VARCHAR) || '"'{_TAIL}
+       WHEN 1 THEN '{{' || concat_ws(',', '"SHKCOO":"00001"', '"SHDOCO":' || CAST(k + 100000 AS VARCHAR), '"SHDCTO":"SO"',
+         '"SHAN8":' || CAST(c + 10000 AS VARCHAR), '"SHOTOT":' || CAST(CAST(amount * 100 AS BIGINT) AS VARCHAR),
+         '"SHCRCD":"' || ccy || '"', '"SHTRDJ":' || CAST(date_diff('day', DATE '1900-01-01', od) + 36525 AS VARCHAR),
+         '"SHLITM":"MAT-' || CAST(k % 6 AS VARCHAR) || '"'{_TAIL}
+       ELSE '{{' || concat_ws(',', '"so_domain":"EMEA"', '"so_nbr":"SO' || CAST(k + 700000 AS VARCHAR) || '"',
+         '"so_cust":"ME' || lpad(CAST(c AS VARCHAR), 12, '0') || '"', '"so_t_amt":' || CAST(amount AS VARCHAR),
+         '"so_curr":"' || ccy || '"', '"so_ord_date":"' || CAST(od AS VARCHAR) || '"',
+         '"so_part":"MAT-' || CAST(k % 6 AS VARCHAR) || '"'{_TAIL} END AS _raw
+FROM chg"""))
 def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed orders of one system with the envelope; the raw row is JSON text."""
-    feed = feeds.order_feeds(spark, sf_dir)["bronze.sap.vbak"]
-    out = envelope.with_envelope(feed, "SAP", "batch-1", F.lit("2001-08-01 06:00:00").cast("timestamp_ntz"), "op_type", "csn")
-    return envelope.soft_delete_flag(out).withColumn("NETWR", F.col("NETWR").cast("double")).withColumn(
-        "changed_at", ts_text(F.col("changed_at"))).withColumn("_ingest_ts", ts_text(F.col("_ingest_ts")))
+    """The envelope of every landed order record of all systems; the raw row is JSON text."""
+    at = F.lit("2001-08-01 06:00:00").cast("timestamp_ntz")
+    landed = None
+    for target, feed in feeds.order_feeds(spark, sf_dir).items():
+        system = target.split(".")[1].upper()
+        part = envelope.soft_delete_flag(envelope.with_envelope(feed, system, "batch-1", at, "op_type", "csn")).select(
+            "_source_system", text_ts("_ingest_ts"), "_batch_id", "_op_type", "_seq", "_raw", "is_deleted")
+        landed = part if landed is None else landed.unionByName(part)
+    return landed
 
 
 # ---------------------------------------------------------------- versions
@@ -536,7 +549,7 @@ def training_set_pit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_hk", "customer_hk", F.col("order_date").alias("label_date"),
         F.col("order_date").cast("timestamp_ntz").alias("label_ts"))
     joined = features.asof_join(labels, _feature_versions(fact), "customer_hk", "label_ts", "feature_ts",
-                                ["quarter_revenue", "quarter_orders"], grain="quarter")
+                                ["quarter_revenue", "quarter_orders"])
     return joined.select("order_hk", "customer_hk", "label_date", text_ts("matched_ts"), "quarter_revenue", "quarter_orders")
 
 

@@ -14,6 +14,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Let capped rankings cut rows on the map side up to the largest cap in use.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

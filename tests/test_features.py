@@ -27,9 +27,11 @@ def test_asof_join_matches_brute_force_with_a_hot_key(spark):
     feats = [(k, t, v) for (k, t), v in feats.items()]
     left = spark.createDataFrame(labels, "lid int, key string, label_ts timestamp_ntz").repartition(4)
     right = spark.createDataFrame(feats, "key string, feature_ts timestamp_ntz, v int")
-    for grain in ("day", "month", "year"):
-        got = features.asof_join(left, right, "key", "label_ts", "feature_ts", ["v"], grain)
+    for coalesce in ("true", "false"):   # one range, and several ranges per key
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        got = features.asof_join(left, right, "key", "label_ts", "feature_ts", ["v"])
         assert {r.lid: (r.matched_ts, r.v) for r in got.collect()} == brute(labels, feats)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_asof_join_equal_time_hits_and_future_does_not_leak(spark):

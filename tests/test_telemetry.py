@@ -1,4 +1,5 @@
 import json
+import os
 import re
 from datetime import datetime, timezone
 
@@ -52,10 +53,14 @@ def test_parse_keeps_broken_payload_as_null_row(spark):
 def test_stream_equals_batch_for_closed_windows_and_drops_late_rows(spark, tmp_path):
     first = [message("f1", "temp", v, at(m)) for v, m in [(1.0, 0), (3.0, 4), (9.0, 5)]]
     second = [message("f1", "temp", 5.0, at(3)), message("f1", "temp", 2.0, at(40))]   # late, but inside the watermark
-    third = [message("f1", "temp", 99.0, at(1)), message("f1", "temp", 2.0, at(59))]   # window closed: dropped
-    fourth = [message("f1", "temp", 2.0, at(59, 30))]
+    third = [message("f1", "temp", 2.0, at(59))]
+    fourth = [message("f1", "temp", 99.0, at(1)), message("f1", "temp", 2.0, at(59, 30))]   # window closed: dropped
+    seen = set()
     for i, part in enumerate([first, second, third, fourth]):
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        for file in set((tmp_path / "in").glob("*.json")) - seen:   # files are taken in order of their time
+            os.utime(file, (1_000_000 + i * 60, 1_000_000 + i * 60))
+            seen.add(file)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
     out = jobs.run_append(telemetry.window_aggregate(telemetry.parse_telemetry(stream), watermark="15 minutes"), str(tmp_path / "job"))
     got = {r.window_start.minute: (r.avg_value, r.max_value, r.samples) for r in out.collect()}

@@ -26,15 +26,21 @@ def expected(rows):
     return by_key
 
 
-def test_noop_suppression_matches_brute_force_across_slices(spark):
+def test_noop_suppression_matches_brute_force(spark):
     rows = history()
     want = set()
     for log in expected(rows).values():
         want |= {r for p, r in zip([None, *log], log) if p is None or p[3] != r[3]}
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    for grain in ("day", "month", "year"):
-        got = {tuple(r) for r in versions.drop_noops(df, ["effective_ts", "csn"], grain).collect()}
-        assert got == want
+    got = {tuple(r) for r in versions.drop_noops(df, ["effective_ts", "csn"]).collect()}
+    assert got == want
+
+
+def test_noop_suppression_when_the_hot_key_changed_at_one_instant(spark):
+    at = datetime(2000, 1, 1)
+    rows = [("hot", at, i, "ab"[(i // 7) % 2]) for i in range(500)] + [(f"k{i}", at, i, "a") for i in range(500)]
+    got = versions.drop_noops(spark.createDataFrame(rows, SCHEMA).repartition(5), ["effective_ts", "csn"])
+    assert got.filter("hk = 'hot'").count() == 72 and got.filter("hk <> 'hot'").count() == 500
 
 
 def test_intervals_match_brute_force(spark):
@@ -63,7 +69,17 @@ def test_survivorship_takes_best_source_per_column(spark):
     assert (row["name"], row["country"], row["contributors"]) == ("jde", "S2", 4)
 
 
-def test_no_group_of_the_interval_windows_holds_the_hot_key(spark):
+def test_hot_key_is_cut_into_ranges(spark):
+    """No task sweeps a whole hot key: its rows lie in several of the range partitions."""
     df = spark.createDataFrame(history(), SCHEMA)
-    sizes = df.groupBy("hk", F.date_trunc("month", "effective_ts")).count().agg(F.max("count")).first()[0]
-    assert sizes < 600 // 3 / 5
+    ranges = df.repartitionByRange(F.col("hk"), F.col("effective_ts"), F.col("csn")).withColumn("p", F.spark_partition_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert ranges.filter("hk = 'hot'").select("p").distinct().count() > 1
+        got = versions.drop_noops(df, ["effective_ts", "csn"])
+        want = sum(1 for log in expected(history()).values() for p, r in zip([None, *log], log) if p is None or p[3] != r[3])
+        assert got.count() == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(hk" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
