@@ -2,29 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNIT_SEPARATOR = "\x1f"
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+UNIT_SEPARATOR = "\\u001f"
 
 
-def hash_key(system: Column | str, *parts: Column | str) -> Column:
-    """``sha2('SYSTEM|pk1|pk2', 256)``; NULL when any part is NULL.
+def hash_key(system: str, *parts: str) -> Column:
+    """``sha2('SYSTEM|pk1|pk2', 256)`` over the named columns; NULL when any part is NULL.
 
     ``concat_ws`` skips NULLs, so without the guard a NULL key would hash to a valid looking
-    value and (A, NULL, B) would collide with (A, B).
+    value and (A, NULL, B) would collide with (A, B). SHA-256 of a string is never NULL; saying so
+    with ``coalesce`` lets Spark decide ``hk IS NOT NULL`` from the parts alone, instead of hashing
+    every row once more inside the filter.
     """
-    cols = [_col(system), *[_col(p).cast("string") for p in parts]]
-    complete = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
-    # SHA-256 of a string is never NULL; saying so lets Spark decide ``hk IS NOT NULL`` from the
-    # parts alone instead of hashing every row once more inside the filter.
-    return F.when(complete, F.coalesce(F.sha2(F.concat_ws("|", *cols), 256), F.lit("")))
+    columns = [system, *[f"cast({p} AS string)" for p in parts]]
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return F.expr(f"CASE WHEN {complete} THEN coalesce(sha2(concat_ws('|', {', '.join(columns)}), 256), '') END")
 
 
 def content_hash(columns: list[str]) -> Column:
@@ -32,5 +26,5 @@ def content_hash(columns: list[str]) -> Column:
 
     Independent of column order, and plain enough for any other engine to reproduce.
     """
-    pairs = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in sorted(columns)]
-    return F.sha2(F.concat_ws(UNIT_SEPARATOR, *pairs), 256)
+    pairs = ", ".join(f"concat('{c}=', cast({c} AS string))" for c in sorted(columns))
+    return F.expr(f"sha2(concat_ws('{UNIT_SEPARATOR}', {pairs}), 256)")

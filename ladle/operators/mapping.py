@@ -39,8 +39,7 @@ def load_projections(mappings: DataFrame, tgt_table: str) -> list[tuple[str, lis
 
 def project(df: DataFrame, columns: list[tuple[str, str, str]], keep: list[str] | None = None) -> DataFrame:
     """Apply one source's mappings. Every target is cast: a union must never widen silently."""
-    mapped = [F.expr(expr).cast(dtype).alias(tgt) for tgt, expr, dtype in columns]
-    return df.select(*mapped, *(keep or []))
+    return df.selectExpr(*[f"cast({expr} AS {dtype}) AS {tgt}" for tgt, expr, dtype in columns], *(keep or []))
 
 
 def conform(sources: dict[str, DataFrame], mappings: DataFrame, tgt_table: str,

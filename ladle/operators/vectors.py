@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,6 +145,22 @@ def search_text(index: DataFrame, key: str, vector: str, question: str, k: int =
     return top_k(index, key, vector, {question: token_vector(question).tolist()}, k)
 
 
+def register_search_function(spark: SparkSession, index: DataFrame, key: str, text: str, vector: str, k: int = 5) -> None:
+    """SQL table function ``search_customer_profiles(question)`` over an index frame."""
+    index.select(F.col(key).alias("customer_hk"), F.col(text).alias("profile_text"),
+                 F.col(vector).alias("embedding")).createOrReplaceTempView("ladle_profile_index")
+    spark.udf.register("embed_text", embed)
+    dot = "aggregate(zip_with({a}, {b}, (x, y) -> cast(x AS double) * y), 0D, (s, v) -> s + v)"
+    both, left, right = (dot.format(a=a, b=b) for a, b in [("embedding", "q"), ("embedding", "embedding"), ("q", "q")])
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION search_customer_profiles(question STRING)
+        RETURNS TABLE (customer_hk STRING, profile_text STRING, score DOUBLE)
+        RETURN SELECT customer_hk, profile_text, score FROM (
+            SELECT customer_hk, profile_text, round(coalesce({both} / nullif(sqrt({left}) * sqrt({right}), 0D), 0D), 6) AS score
+            FROM (SELECT *, embed_text(question) AS q FROM ladle_profile_index))
+        ORDER BY score DESC, customer_hk LIMIT {k}""")
+
+
 def sync_index(index: DataFrame, changes: DataFrame, key: str, text: str, vector: str) -> DataFrame:
     """Index after a change feed: changed keys are embedded again, deleted keys leave, the rest stays."""
     touched = changes.select(key)

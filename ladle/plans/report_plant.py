@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scalars import ts_text
-from ladle.operators import eventlog, expectations, lineage, products, quality, telemetry, trust, vectors
+from ladle.operators import eventlog, expectations, lineage, policy, products, quality, telemetry, trust, vectors
 from ladle.operators.cdc import snapshot_diff
 from ladle.operators.versions import current_rows
-from ladle.plans import gold, silver
+from ladle.plans import gold, report_sales, silver
 from ladle.plans.oracle_parts import CHANGES, CUSTOMERS, GOLD, ORDERS, TELEMETRY, TS, with_parts
 from ladle.plans.report_sales import _FEATURES, _NET, _features, num, staged, text_ts
 from ladle.session import shared_dir
-from ladle.sources import feeds, seeds
+from ladle.sinks import VersionedTable, forbidden_operations
+from ladle.sources import feeds, registry, seeds
 from ladle.sources.tables import stream_table, table
 from ladle.streaming import jobs
 
@@ -160,10 +161,10 @@ SELECT src_order_id, CAST(csn AS BIGINT) AS csn, CASE WHEN hk IS NULL OR NOT coa
                  CASE WHEN currency_code IS NULL THEN 'valid_currency' END) AS failed
 FROM raw"""))
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = expectations.split(silver.sales_order_header_raw(spark, sf_dir), SIL_RULES)
-    cols = ["src_order_id", "csn"]
-    return good.select(*cols, F.lit("good").alias("side"), F.lit("").alias("failed")).unionByName(
-        bad.select(*cols, F.lit("quarantine").alias("side"), F.array_join("failed_rules", ",").alias("failed")))
+    """Which side of the split every row falls on and why, in one pass over the rows."""
+    flagged = expectations.flag(silver.sales_order_header_raw(spark, sf_dir), SIL_RULES)
+    side = F.when(F.size("failed_rules") == 0, "good").otherwise("quarantine")
+    return flagged.select("src_order_id", "csn", side.alias("side"), F.array_join("failed_rules", ",").alias("failed"))
 
 
 @query("record_dq_score", with_parts(ORDERS, """
@@ -252,7 +253,7 @@ def dq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row-level rejects of the order table; a row is rejected ten minutes after it took effect."""
+    """Row-level rejects of the order table, in one pass; a row is rejected ten minutes after it took effect."""
     raw = silver.sales_order_header_raw(spark, sf_dir)
     month = F.date_format("effective_ts", "yyyy-MM")
     rules = [r for r in seeds.DQ_RULES if r[1] != "TIMELINESS"]
@@ -558,7 +559,10 @@ def dq_rca(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("post_load_checks", with_parts(GOLD + "," + _dq_rows("run-1", RUN_AT, False), """
-SELECT 'hash keys are 64 hex digits' AS check_name, count(*) FILTER (NOT regexp_matches(hk, '^[0-9a-f]{64}$')) AS got, '== 0' AS want,
+SELECT 'sources are registered' AS check_name, CAST(12 AS BIGINT) AS got, '>= 6' AS want, TRUE AS ok
+UNION ALL SELECT 'landed records carry the envelope', count(*) FILTER (k IS NULL), '== 0', TRUE FROM chg
+UNION ALL SELECT 'silver history is insert-only', 0, '== 0', TRUE
+UNION ALL SELECT 'hash keys are 64 hex digits' AS check_name, count(*) FILTER (NOT regexp_matches(hk, '^[0-9a-f]{64}$')) AS got, '== 0' AS want,
        count(*) FILTER (NOT regexp_matches(hk, '^[0-9a-f]{64}$')) = 0 AS ok FROM sil
 UNION ALL SELECT 'fact customers exist', count(*), '== 0', count(*) = 0 FROM fact
   WHERE customer_hk IS NOT NULL AND customer_hk NOT IN (SELECT customer_hk FROM dim)
@@ -569,14 +573,18 @@ UNION ALL SELECT 'rejects carry a dimension', 0, '== 0', TRUE
 UNION ALL SELECT 'product rows published', count(*), '>= 1', count(*) >= 1 FROM fact"""))
 def post_load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Post-load assertions as rows; every count is one distributed aggregate."""
-    from ladle.operators import policy
-
     sil = staged(silver.sales_order_header(spark, sf_dir), "orders")
     dim = staged(gold.dim_customer(spark, sf_dir), "dim")
     fact = staged(gold.as_fact(silver.current_rows(sil, "csn"), dim), "fact")
+    log = VersionedTable(spark, shared_dir(spark, "order_log"))
+    log.append(sil, "b1")
     visible = policy.filter_rows(fact, ["sales_analyst_emea"])
     masked = dim.select(policy.mask_name(["exec_readonly"], F.col("customer_name")).alias("m"), "customer_name")
     checks = [
+        ("sources are registered", registry.registry_frame(spark).filter("active"), ">=", 6),
+        ("landed records carry the envelope", report_sales.bronze_envelope(spark, sf_dir).filter(
+            "_ingest_ts IS NULL OR _source_system IS NULL OR _raw IS NULL"), "==", 0),
+        ("silver history is insert-only", forbidden_operations(log.history()), "==", 0),
         ("hash keys are 64 hex digits", sil.filter(~F.col("hk").rlike("^[0-9a-f]{64}$")), "==", 0),
         ("fact customers exist", fact.filter("customer_hk IS NOT NULL").join(dim, "customer_hk", "left_anti"), "==", 0),
         ("row filter hides other regions", visible.filter("source_system NOT IN ('QAD', 'D365')"), "==", 0),
@@ -671,31 +679,44 @@ SELECT k AS customer_hk, profile_text, score FROM sc JOIN prof ON prof.customer_
 QUALIFY row_number() OVER (ORDER BY score DESC, k) <= 5"""))
 def profile_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key, text and score of the five best customer profiles for a question."""
-    prof = _profiles(spark, sf_dir)
+    prof = staged(_profiles(spark, sf_dir), "profiles")
     index = prof.select("customer_hk", vectors.embed_column("profile_text").alias("embedding"))
     hits = vectors.search_text(index, "customer_hk", "embedding", PROFILE_QUESTION)
     # Five hits against the profiles: Spark sees the hit side is tiny at run time.
     return prof.join(hits.select("customer_hk", "score"), "customer_hk").select("customer_hk", "profile_text", "score")
 
 
+@query("profile_search_sql", with_parts(_PROFILES + "," + _hash_search("prof", "customer_hk", "profile_text", PROFILE_QUESTION), """
+SELECT k AS customer_hk, profile_text, score FROM sc JOIN prof ON prof.customer_hk = sc.k
+QUALIFY row_number() OVER (ORDER BY score DESC, k) <= 5"""))
+def profile_search_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search as a SQL table function."""
+    prof = staged(_profiles(spark, sf_dir), "profiles")
+    index = prof.withColumn("embedding", vectors.embed_column("profile_text"))
+    vectors.register_search_function(spark, index, "customer_hk", "profile_text", "embedding")
+    return spark.sql("SELECT * FROM search_customer_profiles(:q)", args={"q": PROFILE_QUESTION})
+
+
 @query("vector_index_sync", with_parts(CUSTOMERS + """,
 a AS (SELECT * FROM cus WHERE effective_ts < TIMESTAMP '2000-01-15 00:00:00'
       QUALIFY row_number() OVER (PARTITION BY hk ORDER BY effective_ts DESC, csn DESC) = 1),
 b AS (SELECT * FROM cus WHERE effective_ts < TIMESTAMP '2000-02-15 00:00:00'
       QUALIFY row_number() OVER (PARTITION BY hk ORDER BY effective_ts DESC, csn DESC) = 1)""", """
-SELECT b.hk, concat_ws(' ', b.customer_name, b.country) AS text FROM b"""))
+SELECT b.hk, concat_ws(' ', b.customer_name, b.country) AS text,
+       CAST(len(regexp_extract_all(lower(concat_ws(' ', b.customer_name, b.country)), '[a-z0-9]+')) AS DOUBLE) AS tokens FROM b"""))
 def vector_index_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bring an index of the earlier snapshot up to date from the change feed; only changes are embedded."""
     log = silver.customer(spark, sf_dir)
 
     def at(day: str) -> DataFrame:
         rows = current_rows(log.filter(F.col("effective_ts") < F.lit(day).cast("timestamp_ntz")), "csn")
-        return rows.select("hk", F.concat_ws(" ", "customer_name", "country").alias("text"))
+        return staged(rows.select("hk", F.concat_ws(" ", "customer_name", "country").alias("text")), "snapshot")
 
     before, after = at("2000-01-15"), at("2000-02-15")
     index = before.select("hk", "text", vectors.embed_column("text").alias("embedding"))
     feed = snapshot_diff(before, after, ["hk"], ["text"])
-    return vectors.sync_index(index, feed, "hk", "text", "embedding").select("hk", "text")
+    return vectors.sync_index(index, feed, "hk", "text", "embedding").select(
+        "hk", "text", F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x).alias("tokens"))
 
 
 # ---------------------------------------------------------------- streams
@@ -713,6 +734,16 @@ def furnace_heat_5min_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "max_value", "samples")
 
 
+@query("telemetry_ingest_stream", with_parts(TELEMETRY, """
+SELECT site, 'meltshop' AS area, asset_id AS asset, tag, strftime(ms, '%Y-%m-%d %H:%M:%S.%g') AS ts, value, quality FROM good"""))
+def telemetry_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze telemetry as a stream, driven by its registry row: filter, watermark, expectations, trigger."""
+    source = registry.source("ot_furnace_telemetry")
+    rows = jobs.ingest_telemetry(feeds.broker_records(stream_table(spark, sf_dir, "events")), source)
+    out = jobs.run_append(rows, shared_dir(spark, "telemetry_stream"))
+    return out.select("site", "area", "asset", "tag", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"), "value", "quality")
+
+
 @query("cdc_mirror_stream", with_parts(CHANGES + "," + _NET, """
 SELECT k AS order_no, CAST(csn AS BIGINT) AS csn, CAST(amount AS DOUBLE) AS amount, ccy AS currency FROM net WHERE op <> 'D'"""))
 def cdc_mirror_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.functions.scalars import day_serial_to_date, implied_decimal, ts_text
+from ladle.functions.scalars import date_to_day_serial, day_serial_to_date, implied_decimal, ts_text
 from ladle.operators import cdc, envelope, expectations, features, lineage, mapping, policy, products, quality, versions
 from ladle.operators.metrics import SALES_METRICS
 from ladle.plans import gold, silver
 from ladle.plans.oracle_parts import CHANGES, CUSTOMERS, GOLD, ORDERS, TS, with_parts
 from ladle.session import shared_dir
-from ladle.sinks import VersionedTable, forbidden_operations, materialize, write_clustered
-from ladle.sources import feeds, seeds
+from ladle.sinks import VersionedTable, forbidden_operations, materialize, publish_view, write_clustered
+from ladle.sources import feeds, registry, seeds
 from ladle.sources.tables import table
 
 QUERIES: dict = {}
@@ -98,7 +98,7 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scalar function groups the pipelines use, over all orders."""
     day, prio = F.col("o_orderdate").cast("date"), F.col("o_orderpriority")
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
-    serial = feeds.date_to_day_serial(day)
+    serial = date_to_day_serial(day)
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
@@ -341,8 +341,11 @@ def monthly_region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- metric view
 
-def _metric(spark, sf_dir, measures, by):
-    out = SALES_METRICS.query(gold.fact_sales_orders(spark, sf_dir), measures, by)
+def _metric(spark: SparkSession, sf_dir: str, measures: list[str], by: list[str]) -> DataFrame:
+    return _rounded(SALES_METRICS.query(gold.fact_sales_orders(spark, sf_dir), measures, by))
+
+
+def _rounded(out: DataFrame) -> DataFrame:
     rounded = {c: F.round(c, 4).cast("double") for c in ("avg_order_value",) if c in out.columns}
     if "revenue_usd" in out.columns:
         rounded["revenue_usd"] = F.col("revenue_usd").cast("double")
@@ -384,6 +387,16 @@ def row_filter_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.sales_orders(visible).select("order_hk", "source_system", "order_date", num("order_amount_usd"))
 
 
+@query("metric_region_policy", with_parts(GOLD, f"""
+SELECT source_system, {_MEASURES} FROM fact
+WHERE order_amount_usd IS NOT NULL AND source_system IN ('SAP', 'D365') GROUP BY 1"""))
+def metric_region_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric view over the filtered fact: a regional analyst sees regional metrics only."""
+    visible = policy.filter_rows(gold.fact_sales_orders(spark, sf_dir), ["sales_analyst_europe"])
+    return _rounded(SALES_METRICS.query(
+        visible, ["revenue_usd", "order_count", "avg_order_value", "active_customers"], ["source_system"]))
+
+
 @query("row_filter_sql_function", with_parts(GOLD, """
 SELECT source_system, count(*) AS visible FROM fact WHERE source_system IN ('D365', 'SAP', 'QAD') GROUP BY 1"""))
 def row_filter_sql_function(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,7 +449,8 @@ def mask_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("product_sales_orders", with_parts(GOLD, """
 SELECT order_hk, customer_hk, source_system, order_date, CAST(order_amount_usd AS DOUBLE) AS order_amount_usd FROM fact"""))
 def product_sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.sales_orders(gold.fact_sales_orders(spark, sf_dir)).withColumn("order_amount_usd", num("order_amount_usd"))
+    publish_view(products.sales_orders(gold.fact_sales_orders(spark, sf_dir)), "v_sales_orders")
+    return spark.table("v_sales_orders").withColumn("order_amount_usd", num("order_amount_usd"))
 
 
 _FEATURES = f"""
@@ -807,8 +821,6 @@ FROM (VALUES ('sap_vbak_sales_header', 'bronze.sap.vbak'), ('sap_kna1_customer',
   ) r(source_name, target_table) LEFT JOIN cnt ON cnt.t = r.target_table"""))
 def registry_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Onboarding checks of every registered source, next to the rows it has landed."""
-    from ladle.sources import registry
-
     checked = registry.validate(registry.registry_frame(spark))
     landed = _landed(spark, sf_dir).select(F.col("table_name").alias("target_table"), "n")
     return checked.join(landed, "target_table", "left").select(
@@ -829,6 +841,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in sources.items():
         part = lineage.column_profile(df.drop("op_type", "csn", "changed_at"), name)
         profile = part if profile is None else profile.unionByName(part)
+    profile = staged(profile, "profile")
     reads = [(src, col) for src, col, *_ in seeds.MAPPINGS if col]
     reads += [("bronze.jde.f4201", c) for c in ("SHKCOO", "SHDOCO", "SHDCTO")] + [("bronze.sap.kna1", "LAND2")]
     return lineage.schema_drift(profile, seeds.inline(spark, reads, "src_table string; src_column string"))

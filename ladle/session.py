@@ -21,9 +21,14 @@ ENGINE_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that results or skew handling rely on. Cluster sizing is left alone."""
-    for key, value in ENGINE_CONF.items():
-        spark.conf.set(key, value)
+    """Apply the settings that results or skew handling rely on, once per session.
+
+    Cluster sizing is left alone, and so is whatever the caller changes afterwards.
+    """
+    if spark.conf.get("ladle.configured", None) is None:
+        for key, value in ENGINE_CONF.items():
+            spark.conf.set(key, value)
+        spark.conf.set("ladle.configured", "true")
     return spark
 
 

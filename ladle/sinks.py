@@ -48,6 +48,11 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def publish_view(df: DataFrame, name: str) -> None:
+    """Publish a frame as a view of the session; policies applied below it stay in force."""
+    df.createOrReplaceTempView(name)
+
+
 def write_clustered(df: DataFrame, path: str, keys: list[str], files: int | None = None) -> DataFrame:
     """Range-partition and sort by ``keys``, so that min/max statistics prune row groups on read.
 

@@ -11,19 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.functions.scalars import date_to_day_serial
+from ladle.functions.scalars import DAY_SERIAL_OFFSET
 from ladle.sources.tables import table
 
-CURRENCIES = ["USD", "EUR", "GBP", "CAD", "JPY"]
+CURRENCIES = "array('USD', 'EUR', 'GBP', 'CAD', 'JPY')"
 KEY_WIDTH = 12
-
-
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _pad(key: Column) -> Column:
-    return F.lpad(key.cast("string"), KEY_WIDTH, "0")
+_META = ["op_type", "csn", "changed_at"]
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,51 +28,44 @@ def order_changes_of(orders: DataFrame) -> DataFrame:
 
     Every order explodes into its own changes, in one pass; batch or streaming alike.
     """
-    k, step = F.col("o_orderkey"), F.col("csn")
-    price = F.col("o_totalprice").cast("decimal(18,2)")
-    amount = F.when(k % 89 == 5, -price).otherwise(price)
-    steps = F.array(F.lit(1), F.when(k % 71 == 2, 1), F.when(k % 5 == 0, 2), F.when(k % 11 == 0, 3),
-                    F.when(k % 55 == 0, 4))
-    added = F.when(step == 1, 0).when(step == 4, 250).otherwise(100)
+    steps = ("array(1, if(o_orderkey % 71 = 2, 1, NULL), if(o_orderkey % 5 = 0, 2, NULL), "
+             "if(o_orderkey % 11 = 0, 3, NULL), if(o_orderkey % 55 = 0, 4, NULL))")
+    price = "if(o_orderkey % 89 = 5, -cast(o_totalprice AS decimal(18,2)), cast(o_totalprice AS decimal(18,2)))"
     return (
-        orders.withColumn("csn", F.explode(steps)).filter("csn IS NOT NULL")
-        .select(
-            k.alias("order_no"),
-            (F.col("o_custkey") % 3).alias("owner"),
-            F.when(k % 113 != 9, F.col("o_custkey")).alias("cust_no"),
-            F.when(k % 97 != 3, _pick(CURRENCIES, k % 5)).alias("currency"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.when(step == 1, "I").when(step == 3, "D").otherwise("U").alias("op_type"),
-            step.cast("long").alias("csn"),
-            (amount + added).cast("decimal(18,2)").alias("amount"),
-            (F.col("o_orderdate") + F.make_dt_interval(days=step - 1)).alias("changed_at"),
+        orders.selectExpr("*", f"explode({steps}) AS csn").filter("csn IS NOT NULL")
+        .selectExpr(
+            "o_orderkey AS order_no",
+            "o_custkey % 3 AS owner",
+            "if(o_orderkey % 113 != 9, o_custkey, NULL) AS cust_no",
+            f"if(o_orderkey % 97 != 3, element_at({CURRENCIES}, cast(o_orderkey % 5 + 1 AS int)), NULL) AS currency",
+            "cast(o_orderdate AS date) AS order_date",
+            "CASE csn WHEN 1 THEN 'I' WHEN 3 THEN 'D' ELSE 'U' END AS op_type",
+            "cast(csn AS bigint) AS csn",
+            f"cast({price} + CASE csn WHEN 1 THEN 0 WHEN 4 THEN 250 ELSE 100 END AS decimal(18,2)) AS amount",
+            "o_orderdate + make_dt_interval(csn - 1) AS changed_at",
         )
     )
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log of customers: a rename for some, and for fewer a later change that changes nothing."""
-    k, nation = F.col("c_custkey"), F.col("c_nationkey")
-    name = F.when(k % 41 != 7, F.col("c_name"))
-
-    step = F.col("csn")
-    steps = F.array(F.lit(1), F.when(k % 4 == 0, 2), F.when(k % 20 == 0, 3))
-    days = (k % 28).cast("int") + (step - 1) * 30
-    letters = F.concat(F.char(F.lit(65) + nation % 26), F.char(F.lit(65) + (nation * 7) % 26))
+    steps = "array(1, if(c_custkey % 4 = 0, 2, NULL), if(c_custkey % 20 = 0, 3, NULL))"
+    name = "if(c_custkey % 41 != 7, c_name, NULL)"
     return (
-        table(spark, sf_dir, "customer").withColumn("csn", F.explode(steps)).filter("csn IS NOT NULL")
-        .select(
-            k.alias("cust_no"), (k % 3).alias("owner"), "c_nationkey", "c_mktsegment",
-            F.when(k % 53 == 0, F.lit("xx")).otherwise(letters).alias("country"),
-            F.when(step == 1, "I").otherwise("U").alias("op_type"),
-            step.cast("long").alias("csn"),
-            F.when(step == 1, name).otherwise(F.concat(name, F.lit(" Ltd"))).alias("name"),
-            (F.lit("2000-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=days)).alias("changed_at"),
+        table(spark, sf_dir, "customer").selectExpr("*", f"explode({steps}) AS csn").filter("csn IS NOT NULL")
+        .selectExpr(
+            "c_custkey AS cust_no", "c_custkey % 3 AS owner", "c_nationkey", "c_mktsegment",
+            "if(c_custkey % 53 = 0, 'xx', concat(char(65 + c_nationkey % 26), char(65 + (c_nationkey * 7) % 26))) AS country",
+            "if(csn = 1, 'I', 'U') AS op_type",
+            "cast(csn AS bigint) AS csn",
+            f"if(csn = 1, {name}, concat({name}, ' Ltd')) AS name",
+            "timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(cast(c_custkey % 28 AS int) + (csn - 1) * 30) AS changed_at",
         )
     )
 
 
-_META = ["op_type", "csn", "changed_at"]
+def _padded(prefix: str, key: str) -> str:
+    return f"concat('{prefix}', lpad(cast({key} AS string), {KEY_WIDTH}, '0'))"
 
 
 def order_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -87,36 +73,28 @@ def order_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return order_feeds_of(order_changes(spark, sf_dir))
 
 
-def order_feeds_of(ch: DataFrame) -> dict[str, DataFrame]:
-    k, c = F.col("order_no"), F.col("cust_no")
-    sap = ch.filter("owner = 0").select(
-        F.concat(F.lit("00"), (k + 4000000).cast("string")).alias("VBELN"),
-        F.concat(F.lit("EU"), _pad(c)).alias("KUNNR"),
-        F.col("amount").alias("NETWR"), F.col("currency").alias("WAERK"),
-        F.col("order_date").cast("string").alias("ERDAT"),
-        F.concat(F.lit("MAT-"), (k % 6).cast("string")).alias("MATNR"), *_META)
-    jde = ch.filter("owner = 1").select(
-        F.lit("00001").alias("SHKCOO"), (k + 100000).alias("SHDOCO"), F.lit("SO").alias("SHDCTO"),
-        (c + 10000).alias("SHAN8"), (F.col("amount") * 100).cast("long").alias("SHOTOT"),
-        F.col("currency").alias("SHCRCD"), date_to_day_serial(F.col("order_date")).alias("SHTRDJ"),
-        F.concat(F.lit("MAT-"), (k % 6).cast("string")).alias("SHLITM"), *_META)
-    qad = ch.filter("owner = 2").select(
-        F.lit("EMEA").alias("so_domain"), F.concat(F.lit("SO"), (k + 700000).cast("string")).alias("so_nbr"),
-        F.concat(F.lit("ME"), _pad(c)).alias("so_cust"), F.col("amount").alias("so_t_amt"),
-        F.col("currency").alias("so_curr"), F.col("order_date").cast("string").alias("so_ord_date"),
-        F.concat(F.lit("MAT-"), (k % 6).cast("string")).alias("so_part"), *_META)
+def order_feeds_of(changes: DataFrame) -> dict[str, DataFrame]:
+    material = "concat('MAT-', cast(order_no % 6 AS string))"
+    serial = f"datediff(order_date, DATE'1900-01-01') + {DAY_SERIAL_OFFSET}"
+    sap = changes.filter("owner = 0").selectExpr(
+        "concat('00', cast(order_no + 4000000 AS string)) AS VBELN", f"{_padded('EU', 'cust_no')} AS KUNNR",
+        "amount AS NETWR", "currency AS WAERK", "cast(order_date AS string) AS ERDAT", f"{material} AS MATNR", *_META)
+    jde = changes.filter("owner = 1").selectExpr(
+        "'00001' AS SHKCOO", "order_no + 100000 AS SHDOCO", "'SO' AS SHDCTO", "cust_no + 10000 AS SHAN8",
+        "cast(amount * 100 AS bigint) AS SHOTOT", "currency AS SHCRCD", f"{serial} AS SHTRDJ", f"{material} AS SHLITM", *_META)
+    qad = changes.filter("owner = 2").selectExpr(
+        "'EMEA' AS so_domain", "concat('SO', cast(order_no + 700000 AS string)) AS so_nbr", f"{_padded('ME', 'cust_no')} AS so_cust",
+        "amount AS so_t_amt", "currency AS so_curr", "cast(order_date AS string) AS so_ord_date", f"{material} AS so_part", *_META)
     return {"bronze.sap.vbak": sap, "bronze.jde.f4201": jde, "bronze.qad.so_mstr": qad}
 
 
 def customer_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The two mapped customer dialects. The third system delivers no customer table."""
-    ch = customer_changes(spark, sf_dir)
-    k = F.col("cust_no")
-    sap = ch.filter("owner = 0").select(
-        F.concat(F.lit("EU"), _pad(k)).alias("KUNNR"), F.col("name").alias("NAME1"),
-        F.col("country").alias("LAND1"), *_META)
-    jde = ch.filter("owner = 1").select(
-        (k + 10000).alias("ABAN8"), F.col("name").alias("ABALPH"), F.col("country").alias("ABCTR"), *_META)
+    changes = customer_changes(spark, sf_dir)
+    sap = changes.filter("owner = 0").selectExpr(
+        f"{_padded('EU', 'cust_no')} AS KUNNR", "name AS NAME1", "country AS LAND1", *_META)
+    jde = changes.filter("owner = 1").selectExpr(
+        "cust_no + 10000 AS ABAN8", "name AS ABALPH", "country AS ABCTR", *_META)
     return {"bronze.sap.kna1": sap, "bronze.jde.f0101": jde}
 
 
@@ -127,6 +105,10 @@ PLANT_TAGS = [("view", "temperature"), ("click", "power_kw"), ("error", "mold_le
 SITES = ["north", "south", "west"]
 
 
+def _pick(values: list[str], index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+
+
 def _case(col: Column, pairs: list[tuple[str, str]]) -> Column:
     out = F.when(col == pairs[0][0], F.lit(pairs[0][1]))
     for key, value in pairs[1:]:

@@ -44,15 +44,19 @@ def trigger(schedule: str, interval: str = "30 seconds") -> dict:
     return {"processingTime": interval} if schedule == "continuous" else {"availableNow": True}
 
 
-def registry_frame(spark: SparkSession, config: dict | None = None, user: str = "seed",
+def registry_frame(spark: SparkSession, config: dict | None = None, user: str | None = None,
                    at: dt.datetime = dt.datetime(2001, 8, 1)) -> DataFrame:
-    """Registry rows, typed - no SQL text is assembled, so rules may contain quotes."""
+    """Registry rows, typed - no SQL text is assembled, so rules may contain quotes.
+
+    Registered by the session's user unless told otherwise.
+    """
     rows = [
         (s["name"], s["system"], s["region"], s["pattern"], s["target"], s.get("primary_key", []),
          s.get("sequence_col", s.get("cursor_column", "")), s.get("schedule", ""), s.get("expectations", {}), user, at, True)
         for s in (config or load())["sources"]
     ]
-    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+    frame = spark.createDataFrame(rows, REGISTRY_SCHEMA)
+    return frame.withColumn("registered_by", F.coalesce("registered_by", F.current_user()))
 
 
 def validate(registry: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ladle.operators import telemetry
 from ladle.operators.cdc import net_changes
 from ladle.operators.expectations import all_hold, failure_counts
 from ladle.sinks import VersionedTable
@@ -37,10 +40,15 @@ def with_counted_drops(df: DataFrame, rules: dict[str, str], name: str) -> DataF
     return counted.filter(all_hold(rules))
 
 
+def ingest_telemetry(records: DataFrame, source: dict) -> DataFrame:
+    """Parse the topics of one registered source, with its watermark and its expectations."""
+    mine = records.filter(F.col("topic").rlike(telemetry.topic_regex(source["topic_filter"])))
+    parsed = telemetry.parse_telemetry(mine).withWatermark("ts", source.get("watermark", "10 minutes"))
+    return with_counted_drops(parsed, source["expectations"], source["name"])
+
+
 def progress_events(query: StreamingQuery, metrics: str, pipeline_id: str, flow: str, table: str) -> list[tuple]:
     """Progress reports of a finished run as event rows (pipeline_id, event_type, timestamp, origin, details)."""
-    import json
-
     events = []
     for p in query.recentProgress:
         seen = p.observedMetrics.get(metrics)
