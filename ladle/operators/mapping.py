@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ladle.operators.versions import latest_per_key
@@ -13,6 +14,14 @@ from ladle.operators.versions import latest_per_key
 MAX_MAPPING_ROWS = 100_000
 
 
+def bounded_rows(config: DataFrame) -> list[Row]:
+    """Configuration rows on the driver; refuses a frame that is no configuration by its size."""
+    rows = config.limit(MAX_MAPPING_ROWS + 1).collect()
+    if len(rows) > MAX_MAPPING_ROWS:
+        raise ValueError(f"more than {MAX_MAPPING_ROWS} configuration rows")
+    return rows
+
+
 def latest_mappings(mappings: DataFrame, layer: str | None = None, tgt_table: str | None = None) -> DataFrame:
     """Highest open version per (src_table, tgt_column); retired rows are left out first."""
     open_rows = mappings.filter(F.col("valid_to").isNull())
@@ -28,13 +37,10 @@ def load_projections(mappings: DataFrame, tgt_table: str) -> list[tuple[str, lis
 
     Read on the driver, because it decides the shape of the plan; the row count is checked.
     """
-    column = F.struct("tgt_column", F.coalesce("transform_expr", "src_column").alias("expr"), "tgt_type")
-    per_source = (latest_mappings(mappings, "silver", tgt_table).limit(MAX_MAPPING_ROWS + 1)
-                  .groupBy("src_table").agg(F.array_sort(F.collect_list(column)).alias("columns"))
-                  .orderBy("src_table").collect())
-    if sum(len(r["columns"]) for r in per_source) > MAX_MAPPING_ROWS:
-        raise ValueError(f"more than {MAX_MAPPING_ROWS} mapping rows for {tgt_table}")
-    return [(r["src_table"], [tuple(c) for c in r["columns"]]) for r in per_source]
+    wanted = latest_mappings(mappings, "silver", tgt_table).select(
+        "src_table", "tgt_column", F.coalesce("transform_expr", "src_column").alias("expr"), "tgt_type")
+    ordered = bounded_rows(wanted.orderBy("src_table", "tgt_column"))
+    return [(src, [tuple(r)[1:] for r in rows]) for src, rows in groupby(ordered, key=lambda r: r["src_table"])]
 
 
 def project(df: DataFrame, columns: list[tuple[str, str, str]], keep: list[str] | None = None) -> DataFrame:

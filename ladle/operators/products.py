@@ -46,6 +46,19 @@ def search_catalog(entries: DataFrame, text: str, columns: list[str]) -> DataFra
     return entries.filter(F.lower(F.concat_ws("", *columns)).contains(text.lower()))
 
 
+# Fixed value: days of notice a breaking change needs.
+NOTICE_DAYS = 30
+
+
+def release_terms(diff: DataFrame, announced: str, effective: str) -> DataFrame:
+    """Version bump each schema change asks for, and whether a breaking one was announced in time."""
+    days = F.datediff(F.lit(effective).cast("date"), F.lit(announced).cast("date"))
+    return diff.withColumns({
+        "version_bump": F.when(F.col("breaking"), "major").otherwise("minor"),
+        "notice_ok": ~F.col("breaking") | (days >= NOTICE_DAYS),
+    })
+
+
 def contract_conformity(view: DataFrame, contract: list[tuple[str, str, bool]]) -> DataFrame:
     """Promised columns against a published view: present, type equal, and NULLs where none are allowed.
 

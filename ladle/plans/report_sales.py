@@ -720,7 +720,7 @@ def mapping_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = _mappings(spark)
     # The newer version carries changed rows only, so columns it does not mention stand.
     touched = maps.filter("version = 2").select("src_table", "tgt_column")
-    rows = mapping.diff_versions(maps.join(touched, ["src_table", "tgt_column"], "left_semi"), 1, 2).collect()
+    rows = mapping.bounded_rows(mapping.diff_versions(maps.join(touched, ["src_table", "tgt_column"], "left_semi"), 1, 2))
     impact = None
     for src in sorted({r["src_table"] for r in rows}):
         mine = [r for r in rows if r["src_table"] == src]
@@ -849,13 +849,14 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("schema_diff", with_parts(GOLD, """
 SELECT 'v_sales_orders' AS table_name, 'currency_code' AS column_name, CAST(NULL AS VARCHAR) AS old_type,
-       'string' AS new_type, 'added' AS change, FALSE AS breaking, count(currency_code) AS non_null FROM fact
-UNION ALL SELECT 'v_sales_orders', 'order_amount_usd', 'double', 'decimal(20,4)', 'type_changed', TRUE, count(order_amount_usd) FROM fact
-UNION ALL SELECT 'v_sales_orders', 'region', 'string', NULL, 'dropped', TRUE, NULL"""))
+       'string' AS new_type, 'added' AS change, FALSE AS breaking, count(currency_code) AS non_null,
+       'minor' AS version_bump, TRUE AS notice_ok FROM fact
+UNION ALL SELECT 'v_sales_orders', 'order_amount_usd', 'double', 'decimal(20,4)', 'type_changed', TRUE, count(order_amount_usd), 'major', FALSE FROM fact
+UNION ALL SELECT 'v_sales_orders', 'region', 'string', NULL, 'dropped', TRUE, NULL, 'major', FALSE"""))
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published columns against the previous release, breaking changes marked."""
+    """Published columns against the previous release: breaking changes, version bump, notice kept."""
     old = seeds.inline(spark, [("v_sales_orders", c, t) for c, t in [
         ("order_hk", "string"), ("customer_hk", "string"), ("source_system", "string"), ("order_date", "date"),
         ("order_amount_usd", "double"), ("region", "string")]], "table_name string; column_name string; data_type string")
     new = lineage.column_profile(gold.fact_sales_orders(spark, sf_dir), "v_sales_orders")
-    return lineage.schema_diff(old, new)
+    return products.release_terms(lineage.schema_diff(old, new), announced="2001-07-15", effective=AS_OF)

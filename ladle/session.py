@@ -41,6 +41,9 @@ def build(master: str | None = None, app: str = "ladle", **conf: str) -> SparkSe
     return builder.getOrCreate()
 
 
+_local_base: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 
@@ -51,6 +54,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="ladle-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="ladle-")
+        _local_base[spark.sparkContext.applicationId] = base
     return f"{base.rstrip('/')}/ladle/{name}-{uuid.uuid4().hex}"

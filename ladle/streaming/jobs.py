@@ -36,8 +36,10 @@ def run_append(df: DataFrame, base: str, trigger: dict | None = None) -> DataFra
 
 def with_counted_drops(df: DataFrame, rules: dict[str, str], name: str) -> DataFrame:
     """Drop failing rows of a stream; counts per rule appear in every progress report."""
-    counted = df.observe(name, F.count(F.lit(1)).alias("rows_read"), *failure_counts(rules))
-    return counted.filter(all_hold(rules))
+    kept = all_hold(rules)
+    counted = df.observe(name, F.count(F.lit(1)).alias("rows_read"), F.count_if(kept).alias("rows_kept"),
+                         *failure_counts(rules))
+    return counted.filter(kept)
 
 
 def ingest_telemetry(records: DataFrame, source: dict) -> DataFrame:
@@ -55,12 +57,12 @@ def progress_events(query: StreamingQuery, metrics: str, pipeline_id: str, flow:
         if seen is None:
             continue
         seen = seen.asDict()
-        read = seen.pop("rows_read")
+        read, kept = seen.pop("rows_read"), seen.pop("rows_kept")
         expectations = [{"name": n, "dataset": table, "passed_records": read - f, "failed_records": f}
                         for n, f in seen.items()]
         details = {"flow_progress": {
-            "status": "COMPLETED", "metrics": {"num_output_rows": max(p.sink.numOutputRows, 0)},
-            "data_quality": {"dropped_records": read - max(p.sink.numOutputRows, 0), "expectations": json.dumps(expectations)}}}
+            "status": "COMPLETED", "metrics": {"num_output_rows": kept},
+            "data_quality": {"dropped_records": read - kept, "expectations": json.dumps(expectations)}}}
         events.append((pipeline_id, "flow_progress", p.timestamp, (f"{p.runId}-{p.batchId}", flow), json.dumps(details)))
     return events
 

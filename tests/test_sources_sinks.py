@@ -100,7 +100,7 @@ def test_stream_progress_becomes_batch_log_and_rejects(spark, tmp_path):
     rejects = {r.failed_rule: (json.loads(r.record_payload)["failed_records"], r.dq_dimension) for r in eventlog.rule_rejects(live).collect()}
     assert rejects == {"valid_pk": (1, "COMPLETENESS"), "small": (1, "VALIDITY")}
     log = eventlog.batch_log(live).first()
-    assert log.rows_read == log.rows_written + log.rows_rejected
+    assert (log.rows_read, log.rows_written, log.rows_rejected) == (4, 2, 2)
     off = seeds.inline(spark, [("p1", "false")], "pipeline_id string; active boolean")
     assert eventlog.active_events(events, off).count() == 0
 
@@ -119,3 +119,23 @@ def test_contract_conformity(spark):
     rows = {r.column_name: (r.change, r.conforms) for r in products.contract_conformity(
         view, [("k", "string", False), ("v", "int", False), ("w", "int", True)]).collect()}
     assert rows == {"k": ("same", True), "v": ("same", False), "w": ("dropped", False)}
+
+
+def test_local_fallback_of_the_shared_folder(spark, monkeypatch):
+    from ladle import session
+
+    class Unset:
+        sparkContext = spark.sparkContext
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    first, second = session.shared_dir(Unset, "a"), session.shared_dir(Unset, "a")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+    class Cluster(Unset):
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Cluster, "a")
