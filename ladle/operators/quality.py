@@ -27,58 +27,50 @@ def dimension_of(name: Column) -> Column:
     return out.otherwise("VALIDITY")
 
 
-def score_table(df: DataFrame, name: str, rules: list[RuleRow], batch: Column, run_at: Column) -> DataFrame:
-    """Score every rule of one table per batch.
+def _rule_scores(df: DataFrame, name: str, rules: list[RuleRow], by: list[str]) -> DataFrame:
+    """Score every rule of one table per group of ``by``; rules may refer to ``run_at``.
 
-    Rows fold to (batch, hk, effective_ts) first - which settles uniqueness and combines on the
-    map side - and then to one row per batch, which is unpivoted to one row per rule.
+    Rows fold to (group, hk, effective_ts) first - which settles uniqueness and combines on the
+    map side - and then to one row per group, which is unpivoted to one row per rule.
     """
     mine = [r for r in rules if r[0] == name]
-    based = df.withColumns({"batch_id": batch, "run_at": run_at})
-    unique = any(r[2] is None for r in mine)
     passes = [(i, r[2]) for i, r in enumerate(mine) if r[2] is not None]
-    counts = [F.count(F.lit(1)).alias("_total"), *[F.count_if(holds(rule)).alias(f"_p{i}") for i, rule in passes]]
-    if unique:
-        per_key = based.groupBy("batch_id", "run_at", "hk", "effective_ts").agg(*counts)
-        totals = per_key.groupBy("batch_id", "run_at").agg(
-            F.sum("_total").alias("_total"), *[F.sum(f"_p{i}").alias(f"_p{i}") for i, _ in passes],
-            F.count(F.lit(1)).alias("_distinct"))
+    counts = {"_total": F.count(F.lit(1)), **{f"_p{i}": F.count_if(holds(rule)) for i, rule in passes}}
+    if len(passes) < len(mine):
+        per_key = df.groupBy(*by, "hk", "effective_ts").agg(*[c.alias(n) for n, c in counts.items()])
+        totals = per_key.groupBy(*by).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts],
+                                          F.count(F.lit(1)).alias("_distinct"))
     else:
-        totals = based.groupBy("batch_id", "run_at").agg(*counts)
+        totals = df.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()])
     entries = F.array(*[
         F.struct(F.lit(dim).alias("dimension"), F.lit(rule or UNIQUE_RULE_TEXT).alias("rule"),
                  F.lit(threshold).cast("double").alias("threshold"),
                  F.col("_distinct" if rule is None else f"_p{i}").alias("passed"))
         for i, (_, dim, rule, threshold) in enumerate(mine)])
     score = F.when(F.col("total") > 0, F.col("passed") / F.col("total")).otherwise(F.lit(1.0))
-    return (
-        totals.select("batch_id", "run_at", F.col("_total").alias("total"), F.inline(entries))
-        .withColumn("raw_score", score)
-        .select("batch_id", F.lit(name).alias("table_name"), "dimension", "rule", "total", "passed",
-                F.round("raw_score", 5).alias("score"), (F.col("raw_score") >= F.col("threshold")).alias("met_threshold"),
-                "run_at")
-    )
+    return totals.select(*by, F.col("_total").alias("total"), F.inline(entries)).withColumn("raw_score", score).select(
+        *by, F.lit(name).alias("table_name"), "dimension", "rule", "total", "passed",
+        F.round("raw_score", 5).alias("score"), (F.col("raw_score") >= F.col("threshold")).alias("met_threshold"))
 
 
+RESULT_COLUMNS = ["batch_id", "table_name", "dimension", "rule", "total", "passed", "score", "met_threshold", "run_at"]
 
 
-def score_tables(tables: dict[str, DataFrame], rules: list[RuleRow], batch: Column, run_at: Column) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b),
-                  [score_table(df, name, rules, batch, run_at) for name, df in tables.items()])
+def score_table(df: DataFrame, name: str, rules: list[RuleRow], batch: Column, run_at: Column) -> DataFrame:
+    """Scores per batch, for a table whose rows belong to many batches."""
+    based = df.withColumns({"batch_id": batch, "run_at": run_at})
+    return _rule_scores(based, name, rules, ["batch_id", "run_at"]).select(*RESULT_COLUMNS)
 
 
 def score_run(df: DataFrame, name: str, rules: list[RuleRow], batch_id: str, run_at: Column) -> DataFrame:
-    """One run over a whole table, with the score 1.0 for an empty table."""
-    spark = df.sparkSession
-    scored = score_table(df, name, rules, F.lit(batch_id), run_at)
-    expected = spark.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(d).alias("dimension"), F.lit(r or UNIQUE_RULE_TEXT).alias("rule")) for t, d, r, _ in rules if t == name
-    ])).alias("e")).select("e.*")
-    return expected.join(scored, ["dimension", "rule"], "left").select(
-        F.lit(batch_id).alias("batch_id"), F.lit(name).alias("table_name"), "dimension", "rule",
-        F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("passed", F.lit(0)).alias("passed"),
-        F.coalesce("score", F.lit(1.0)).alias("score"), F.coalesce("met_threshold", F.lit(True)).alias("met_threshold"),
-        run_at.alias("run_at"))
+    """One run over a whole table. The aggregate has no group, so an empty table yields its row: score 1.0."""
+    scored = _rule_scores(df.withColumn("run_at", run_at), name, rules, [])
+    return scored.withColumns({"batch_id": F.lit(batch_id), "run_at": run_at}).select(*RESULT_COLUMNS)
+
+
+def score_tables(tables: dict[str, DataFrame], rules: list[RuleRow], batch: Column, run_at: Column) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b),
+                  [score_table(df, name, rules, batch, run_at) for name, df in tables.items()])
 
 
 def quarantine(df: DataFrame, name: str, rules: list[RuleRow], batch: Column, run_at: Column, row_key: list[str],
