@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from ladle.operators.versions import latest_per_key
 
 
+def mean_score() -> Column:
+    """Average score in decimal arithmetic: scores have five digits, so rounding the mean is exact."""
+    return F.avg(F.col("score").cast("decimal(10,5)"))
+
+
 def heatmap(results: DataFrame) -> DataFrame:
     return results.groupBy(F.col("run_at").cast("date").alias("day"), "dimension", "table_name").agg(
-        F.round(F.avg("score"), 4).alias("avg_score"), F.min("met_threshold").alias("all_passed"))
+        F.round(mean_score(), 4).cast("double").alias("avg_score"), F.min("met_threshold").alias("all_passed"))
 
 
 def latest_results(results: DataFrame) -> DataFrame:
@@ -20,7 +25,7 @@ def latest_results(results: DataFrame) -> DataFrame:
 def scorecard(results: DataFrame) -> DataFrame:
     breached = F.when(~F.col("met_threshold"), F.col("dimension"))
     return latest_results(results).groupBy("table_name").agg(
-        F.round(F.avg("score") * 100, 2).alias("trust_score_pct"),
+        F.round(mean_score() * 100, 2).cast("double").alias("trust_score_pct"),
         F.count_if(~F.col("met_threshold")).alias("breached_dimensions"),
         F.array_sort(F.collect_list(breached)).alias("breaches"))
 

@@ -434,7 +434,8 @@ def expectation_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- trust
 
 @query("dq_heatmap", with_parts(DQ_MONTHLY, """
-SELECT CAST(run_at AS DATE) AS day, dimension, table_name, round(avg(score), 4) AS avg_score,
+SELECT CAST(run_at AS DATE) AS day, dimension, table_name,
+       CAST((2 * sum(CAST(round(score * 100000) AS BIGINT)) + 10 * count(*)) // (20 * count(*)) AS DOUBLE) / 10000.0::DOUBLE AS avg_score,
        bool_and(met_threshold) AS all_passed FROM dq GROUP BY 1, 2, 3"""))
 def dq_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trust.heatmap(_dq_history(spark, sf_dir))
@@ -445,7 +446,7 @@ lat AS (SELECT * FROM dq QUALIFY row_number() OVER (PARTITION BY table_name, dim
 
 
 @query("trust_scorecard", with_parts(_LATEST, """
-SELECT table_name, round(avg(score) * 100, 2) AS trust_score_pct, count(*) FILTER (NOT met_threshold) AS breached_dimensions,
+SELECT table_name, CAST((2 * sum(CAST(round(score * 100000) AS BIGINT)) + 10 * count(*)) // (20 * count(*)) AS DOUBLE) / 100.0::DOUBLE AS trust_score_pct, count(*) FILTER (NOT met_threshold) AS breached_dimensions,
        coalesce(string_agg(CASE WHEN NOT met_threshold THEN dimension END, ',' ORDER BY dimension), '') AS breaches
 FROM lat GROUP BY 1"""))
 def trust_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,13 +517,14 @@ def trust_score_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("trust_history", with_parts(DQ_MONTHLY + "," + _PRODUCT_SQL, """
-SELECT CAST(run_at AS DATE) AS day, product, round(avg(score) * 100, 4) AS dq_score_pct
+SELECT CAST(run_at AS DATE) AS day, product,
+       CAST((20 * sum(CAST(round(score * 100000) AS BIGINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 10000.0::DOUBLE AS dq_score_pct
 FROM dq JOIN pt USING (table_name) GROUP BY 1, 2"""))
 def trust_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality part of the trust score per run day and product, ready to append."""
     scored = _dq_history(spark, sf_dir).join(_product_tables(spark), "table_name")
     return scored.groupBy(F.col("run_at").cast("date").alias("day"), "product").agg(
-        F.round(F.avg("score") * 100, 4).alias("dq_score_pct"))
+        F.round(trust.mean_score() * 100, 4).cast("double").alias("dq_score_pct"))
 
 
 @query("contract_check", with_parts(_LATEST + "," + _PRODUCT_SQL, """
