@@ -63,11 +63,11 @@ _ESC = "coalesce({}, '')"
 for _raw, _coded in chat.ESCAPES:
     _ESC = f"replace({_ESC}, '{_raw}', '{_coded}')"
 
-_WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\v\\f\\r]+'), w -> w <> '')"
+_WORDS = "X"
 
 
 def _shingled(table: str, key: str) -> str:
-    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM (SELECT {key}, {_WORDS} AS w FROM {table})"""
 
 
