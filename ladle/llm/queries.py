@@ -63,7 +63,7 @@ _ESC = "coalesce({}, '')"
 for _raw, _coded in chat.ESCAPES:
     _ESC = f"replace({_ESC}, '{_raw}', '{_coded}')"
 
-_WORDS = "X"
+_WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\x0b\\f\\r]+'), lambda w: w <> '')"
 
 
 def _shingled(table: str, key: str) -> str:
