@@ -160,7 +160,8 @@ def classes(docs: DataFrame, percent: int = 85, k: int = SKETCH) -> DataFrame:
         F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["node", "n", "sketch"])
     sk = common.stage(sk, "node_sketches")
     values = sk.select("node", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
-    often = values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    # A table of its own, so that both sides of the join below are plain shuffles and a frequent value can be split.
+    often = common.stage(values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "often")
     shared = values.join(often, "value")
     # Values of one node only come first in the order of rarity, so the shared ones start behind them.
     per_node = shared.groupBy("node", "n", "s").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("v"))
