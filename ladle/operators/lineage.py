@@ -5,28 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 50
-
+from ladle import session, sinks
 
 def downstream(edges: DataFrame, start: str) -> DataFrame:
-    """Tables that depend on ``start``, with the shortest distance, by a recursive query."""
+    """Tables that depend on ``start``, with the shortest distance, however deep.
+
+    Breadth first: every table enters the frontier once, so neither cycles nor the number of paths matter. Rounds are
+    tables in the shared folder.
+    """
     spark = edges.sparkSession
-    edges.select("src_table", "tgt_table").distinct().createOrReplaceTempView("ladle_table_edges")
-    reach = spark.sql(
-        f"""
-        WITH RECURSIVE walk(table_name, depth) AS (
-            SELECT tgt_table, 1 FROM ladle_table_edges WHERE src_table = :start
-            UNION ALL
-            SELECT e.tgt_table, w.depth + 1
-            FROM walk w JOIN ladle_table_edges e ON e.src_table = w.table_name
-            WHERE w.depth < {MAX_DEPTH}
-        )
-        SELECT table_name, min(depth) AS depth FROM walk GROUP BY table_name
-        """,
-        args={"start": start},
-    )
-    spark.catalog.dropTempView("ladle_table_edges")  # the plan above is resolved already
-    return reach
+    hops = sinks.materialize(edges.select("src_table", "tgt_table").distinct(), session.shared_dir(spark, "hops"))
+    reached, frontier, depth = None, spark.createDataFrame([(start,)], "table_name string"), 0
+    while True:
+        depth += 1
+        step = hops.join(frontier, hops["src_table"] == frontier["table_name"]).select(F.col("tgt_table").alias("table_name")).distinct()
+        fresh = step if reached is None else step.join(reached, "table_name", "left_anti")
+        found = sinks.materialize(fresh.withColumn("depth", F.lit(depth)), session.shared_dir(spark, "reach"))
+        reached = found if reached is None else reached.unionByName(found)
+        if not found.limit(1).count():
+            return reached
+        frontier = found.select("table_name")
 
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:

@@ -93,17 +93,20 @@ def quarantine(df: DataFrame, name: str, rules: list[RuleRow], batch: Column, ru
 
 
 def gate(results: DataFrame) -> None:
-    """Raise when any (table, dimension) misses its threshold. Reads scores, never rows."""
+    """Raise when any (table, dimension) misses its threshold, and name all that do. Reads scores, never rows."""
     low = results.filter(~F.col("met_threshold")).select("table_name", "dimension").distinct()
-    breaches = [tuple(r) for r in low.orderBy("table_name", "dimension").limit(1000).collect()]
+    breaches = [tuple(r) for r in low.orderBy("table_name", "dimension").collect()]
     if breaches:
         raise QualityBreach(f"below threshold: {breaches}")
 
 
 def requeue(rejects: DataFrame, schema: str, defaults: dict[str, object], key: list[str]) -> DataFrame:
-    """Rebuild rows from stored payloads, impute NULLs, and keep one row per key."""
-    parsed = rejects.select(F.from_json("record_payload", schema).alias("r")).select("r.*")
-    return parsed.fillna(defaults).dropDuplicates(key)
+    """Rebuild rows from stored payloads, impute NULLs, and keep one row per key: the last rejected, ties to the larger payload."""
+    newest = F.struct(*[c for c in ("rejected_at", "record_payload") if c in rejects.columns])
+    parsed = rejects.select(F.from_json("record_payload", schema).alias("r"), newest.alias("_newest")).select("r.*", "_newest")
+    row = F.struct(*[F.col(c) for c in parsed.columns if c not in ("_newest", *key)])
+    kept = parsed.groupBy(*key).agg(F.max_by(row, "_newest").alias("_row"))
+    return kept.select(*key, "_row.*").fillna(defaults)
 
 
 def standardize(df: DataFrame, column: str, variants: DataFrame, out: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,15 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIMENSIONS = 256
-MAX_QUESTIONS = 4096
-NOT_TOKEN = "[^a-z0-9]+"
+QUESTIONS_AT_ONCE = 4096
+MAX_LABELS = 4096
+NOT_TOKEN = r"[^\p{L}\p{N}]+"
 TEXTS_AT_ONCE = 1024
 
 
 def token_matrix(texts: pa.Array) -> np.ndarray:
     """Term counts in 256 hash buckets, one row per text; a token's bucket is the second byte of its MD5.
 
-    Tokens are runs of ASCII letters and digits. Splitting, counting and de-duplication are
+    Tokens are runs of letters and digits of any script. Splitting, counting and de-duplication are
     columnar; only distinct tokens are hashed.
     """
     lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), NOT_TOKEN)
@@ -86,14 +88,17 @@ def _best_rows(scores: np.ndarray, order_key: np.ndarray, k: int) -> list[np.nda
 def top_k(index: DataFrame, key: str, vector: str, questions: dict[str, list[float]], k: int) -> DataFrame:
     """``(question, key, score)``: the k nearest vectors of every question, exactly.
 
-    The question list is the caller's and its length is checked; it travels with the task. Each
+    The question list is the caller's; it travels with the task, in blocks of bounded length. Each
     Arrow batch is scored by one matrix product and cut to k rows per question before anything
-    is shuffled, so neither pairs nor the index ever move. Ties go to the smaller key.
+    is shuffled, so neither pairs nor the index ever move. Ties go to the smaller key. A NULL vector
+    scores 0; a vector of another width than the questions cannot be compared and takes no part.
     """
-    if len(questions) > MAX_QUESTIONS:
-        raise ValueError(f"more than {MAX_QUESTIONS} questions in one search")
     names = list(questions)
+    if len(names) > QUESTIONS_AT_ONCE:
+        blocks = [names[i:i + QUESTIONS_AT_ONCE] for i in range(0, len(names), QUESTIONS_AT_ONCE)]
+        return reduce(DataFrame.unionByName, [top_k(index, key, vector, {n: questions[n] for n in b}, k) for b in blocks])
     width = len(questions[names[0]])
+    index = index.filter(F.col(vector).isNull() | (F.size(vector) == width))
     unit_q = _unit(np.array([questions[n] for n in names], dtype=np.float64))
     key_type = dict(index.dtypes)[key]
 
@@ -116,7 +121,10 @@ def top_k(index: DataFrame, key: str, vector: str, questions: dict[str, list[flo
 
 def centroids(df: DataFrame, label: str, vector: str) -> dict[str, list[float]]:
     """Mean vector per label. Batches fold to one sum per label, so only sums are shuffled; the
-    number of labels is checked. Vectors must be of one width."""
+    number of labels is checked. Vectors must be of one width; others raise."""
+    widths = df.filter(F.col(vector).isNotNull()).select(F.size(vector)).distinct().limit(2).collect()
+    if len(widths) > 1:
+        raise ValueError("vectors of several widths have no mean")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,9 +143,9 @@ def centroids(df: DataFrame, label: str, vector: str) -> dict[str, list[float]]:
     means = (partial.select("label", "n", F.posexplode("total").alias("pos", "x"))
              .groupBy("label", "pos").agg((F.sum("x") / F.sum("n")).alias("m"))
              .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("v")))
-    rows = means.select("label", "v.m").limit(MAX_QUESTIONS + 1).collect()
-    if len(rows) > MAX_QUESTIONS:
-        raise ValueError(f"more than {MAX_QUESTIONS} labels")
+    rows = means.select("label", "v.m").limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
     return {r[0]: list(r[1]) for r in rows}
 
 

@@ -638,9 +638,9 @@ def vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hash_search(source: str, key: str, text: str, question: str) -> str:
     return f"""
-tok AS (SELECT {key} AS k, unnest(regexp_extract_all(lower({text}), '[a-z0-9]+')) AS t FROM {source}),
+tok AS (SELECT {key} AS k, unnest(regexp_extract_all(lower({text}), '[\\pL\\pN]+')) AS t FROM {source}),
 vec AS (SELECT k, substr(md5(t), 3, 2) AS b, count(*) AS n FROM tok GROUP BY 1, 2),
-qv AS (SELECT substr(md5(t), 3, 2) AS b, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower('{question}'), '[a-z0-9]+')) AS t) GROUP BY 1),
+qv AS (SELECT substr(md5(t), 3, 2) AS b, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower('{question}'), '[\\pL\\pN]+')) AS t) GROUP BY 1),
 dot AS (SELECT vec.k, sum(vec.n * qv.n) AS d FROM vec JOIN qv USING (b) GROUP BY 1),
 nrm AS (SELECT k, sqrt(sum(n * n)) AS l FROM vec GROUP BY 1),
 allk AS (SELECT {key} AS k FROM {source}),
@@ -705,7 +705,7 @@ a AS (SELECT * FROM cus WHERE effective_ts < TIMESTAMP '2000-01-15 00:00:00'
 b AS (SELECT * FROM cus WHERE effective_ts < TIMESTAMP '2000-02-15 00:00:00'
       QUALIFY row_number() OVER (PARTITION BY hk ORDER BY effective_ts DESC, csn DESC) = 1)""", """
 SELECT b.hk, concat_ws(' ', b.customer_name, b.country) AS text,
-       CAST(len(regexp_extract_all(lower(concat_ws(' ', b.customer_name, b.country)), '[a-z0-9]+')) AS DOUBLE) AS tokens FROM b"""))
+       CAST(len(regexp_extract_all(lower(concat_ws(' ', b.customer_name, b.country)), '[\\pL\\pN]+')) AS DOUBLE) AS tokens FROM b"""))
 def vector_index_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bring an index of the earlier snapshot up to date from the change feed; only changes are embedded."""
     log = silver.customer(spark, sf_dir)

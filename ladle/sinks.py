@@ -80,7 +80,10 @@ class VersionedTable:
             f"{self.path}/commits/entry={batch_id}")
 
     def read(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/data")
+        """Rows of committed batches; a batch whose commit was never written does not exist."""
+        rows = self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/data")
+        done = self.history().select(F.col("batch_id").alias("_done")).distinct()
+        return rows.join(done, F.col("batch").cast("string") == F.col("_done"), "left_semi")
 
     def history(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/commits").drop("entry")

@@ -69,6 +69,20 @@ def test_gate_lists_breaches(spark):
         quality.gate(bad)
 
 
+def test_gate_lists_every_breach(spark):
+    bad = spark.range(1500).selectExpr("concat('t', id) AS table_name", "'VALIDITY' AS dimension", "FALSE AS met_threshold")
+    with pytest.raises(quality.QualityBreach) as e:
+        quality.gate(bad)
+    assert str(e.value).count("VALIDITY") == 1500
+
+
+def test_requeue_keeps_the_last_rejected(spark):
+    rows = [('{"id":1,"c":"EUR"}', 1), ('{"id":1,"c":"GBP"}', 3), ('{"id":1,"c":"CAD"}', 2)]
+    for order in (rows, rows[::-1]):
+        payloads = spark.createDataFrame(order, "record_payload string, rejected_at int")
+        assert [r.c for r in quality.requeue(payloads, "id int, c string", {}, ["id"]).collect()] == ["GBP"]
+
+
 def test_quarantine_totals_match_scores(spark):
     from datetime import datetime
     t = datetime(2000, 1, 1)

@@ -108,6 +108,9 @@ def test_stream_progress_becomes_batch_log_and_rejects(spark, tmp_path):
 def test_lineage_walk_and_drift(spark):
     edges = seeds.inline(spark, [("a", "b"), ("b", "c"), ("a", "c"), ("c", "d"), ("x", "y")], "src_table string; tgt_table string")
     assert {(r.table_name, r.depth) for r in lineage.downstream(edges, "a").collect()} == {("b", 1), ("c", 1), ("d", 2)}
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(54)] + [("n0", "n2"), ("n54", "n0")]
+    deep = lineage.downstream(spark.createDataFrame(chain, "src_table string, tgt_table string"), "n0")
+    assert deep.count() == 55 and deep.agg({"depth": "max"}).first()[0] == 54
     old = seeds.inline(spark, [("t", "a", "int"), ("t", "b", "int")], "table_name string; column_name string; data_type string")
     new = lineage.column_profile(spark.createDataFrame([("x", 1)], "a string, c int"), "t")
     assert {(r.column_name, r.change, r.breaking) for r in lineage.schema_diff(old, new).collect()} == {

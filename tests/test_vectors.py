@@ -23,16 +23,30 @@ def test_top_k_is_exact_with_ties_and_zero_norm(spark):
     assert [r.id for r in sorted((r for r in got if r.question == "a"), key=lambda r: r["rank"])][:3] == [10, 20, 30]
 
 
-def test_ragged_and_null_vectors_score_zero(spark):
+def test_null_vectors_score_zero_and_ragged_ones_leave(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [0.0, 1.0])], "id bigint, v array<float>")
     got = {r.id: r.score for r in vectors.top_k(df, "id", "v", {"q": [1.0, 0.0]}, 4).collect()}
-    assert got == {1: 1.0, 2: 0.0, 3: 0.0, 4: 0.0}
+    assert got == {1: 1.0, 2: 0.0, 4: 0.0}  # a null scores 0, another width cannot be compared
 
 
-def test_question_list_is_bounded(spark):
-    df = spark.createDataFrame([(1, [1.0])], "id bigint, v array<float>")
+def test_long_question_lists_go_in_blocks(spark):
+    df = spark.createDataFrame([(1, [1.0]), (2, [-1.0])], "id bigint, v array<float>")
+    n = vectors.QUESTIONS_AT_ONCE + 5
+    got = vectors.top_k(df, "id", "v", {str(i): [1.0] for i in range(n)}, 1)
+    assert got.count() == n and got.select("id").distinct().collect()[0][0] == 1
+
+
+def test_other_widths_take_no_part(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 2.0, 3.0])], "id bigint, v array<float>")
+    assert [r.id for r in vectors.top_k(df, "id", "v", {"q": [1.0, 0.0]}, 4).collect()] == [1]
     with pytest.raises(ValueError):
-        vectors.top_k(df, "id", "v", {str(i): [1.0] for i in range(vectors.MAX_QUESTIONS + 1)}, 1)
+        vectors.centroids(df.withColumn("l", df["id"] * 0), "l", "v")
+
+
+def test_letters_of_all_scripts_are_tokens():
+    import numpy as np
+    assert not np.array_equal(vectors.token_vector("été à Zürich"), vectors.token_vector("t z rich"))
+    assert vectors.token_vector("сталь и прокат").sum() == 3
 
 
 def test_embedding_counts_tokens_and_reads_whole_texts():
