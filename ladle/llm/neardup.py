@@ -44,7 +44,7 @@ def _shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     mixed = np.zeros(total, np.uint64)
     for k in range(WIDTH):
         part = np.zeros(total, np.uint64)
-        part[:total - k] = h[k:]
+        part[:max(0, total - k)] = h[k:]
         mixed = common.mix(mixed * np.uint64(0x100000001B3) + part + np.uint64(k)) if k < total else mixed
     whole = place + WIDTH <= n[doc]
     # A short text: its words from the first on, and their number.
