@@ -176,21 +176,22 @@ def _bucket_task(splitters: list[bytes]):
         over = []
         for x in range(REACH + 1):
             has = (near <= x) & (x <= far)
-            across = has & (touch >= SPAN - x)
-            over += [(u, x) for u in np.flatnonzero(across)]
-            own = np.flatnonzero(has & ~across)
+            own = np.flatnonzero(has)
             if len(own):
                 right, left = np.cumsum(r_shared < SPAN - x)[r_place[own]], np.cumsum(l_shared < x)[l_place[own]]
-                _, same = np.unique(right * (size + 1) + left, return_inverse=True)
-                repeated[own, x + 1] = np.bincount(same, n[own])[same] >= 2
+                _, lead, same = np.unique(right * (size + 1) + left, return_index=True, return_inverse=True)
+                total = np.bincount(same, n[own])
+                repeated[own, x + 1] = total[same] >= 2
+                # One window speaks for its class where the class may go on in other buckets.
+                over += [(u, x, t) for u, t in zip(own[lead].tolist(), total.tolist()) if touch[u] >= SPAN - x]
         step = np.diff(repeated.astype(np.int8), axis=1)
         u, first = np.nonzero(step == 1)
         _, last = np.nonzero(step == -1)
-        windows = [hashlib.blake2b(parts[u][far[u] - x:far[u] - x + SPAN], digest_size=16).digest() for u, x in over]
+        windows = [hashlib.blake2b(parts[u][far[u] - x:far[u] - x + SPAN], digest_size=16).digest() for u, x, _ in over]
         return pa.table({
-            "uid": pa.array([uid[i] for i in u] + [uid[i] for i, _ in over], pa.binary()), "first": pa.array(first.tolist() + [x for _, x in over], pa.int32()),
-            "last": pa.array((last - 1).tolist() + [x for _, x in over], pa.int32()), "window": pa.array([None] * len(u) + windows, pa.binary()),
-            "n": pa.array([0] * len(u) + [int(n[i]) for i, _ in over], pa.int64())})
+            "uid": pa.array([uid[i] for i in u] + [uid[i] for i, _, _ in over], pa.binary()), "first": pa.array(first.tolist() + [x for _, x, _ in over], pa.int32()),
+            "last": pa.array((last - 1).tolist() + [x for _, x, _ in over], pa.int32()), "window": pa.array([None] * len(u) + windows, pa.binary()),
+            "n": pa.array([0] * len(u) + [int(t) for _, _, t in over], pa.int64())})
     return task
 
 
@@ -220,7 +221,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
     place = named.select("key", "text").mapInArrow(_anchor_task, "gram long, key long, place long")
-    often = place.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
+    # A table of its own, so that both sides of the join below are plain shuffles and a frequent gram can be split.
+    often = common.stage(place.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "often")
     wanted = common.stage(place.join(often, "gram").groupBy("key").agg(F.collect_set("place").alias("places")), "places")
     units = common.stage(named.select("key", "text").join(wanted, "key").select("key", "text", "places").mapInArrow(
         _unit_task, "uid binary, key long, place long, far int, part binary"), "units")
@@ -234,7 +236,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     found = common.stage(dealt.groupBy("bucket").applyInArrow(_bucket_task(splitters), _FOUND), "found")
     across = found.filter("window IS NOT NULL")
     twice = across.groupBy("window").agg(F.sum("n").alias("total")).filter("total > 1").select("window")
-    runs = found.filter("window IS NULL").select("uid", "first", "last").unionByName(across.join(twice, "window").select("uid", "first", "last"))
+    # Where a class has several windows in its bucket, the bucket has decided; the others ask what all buckets found.
+    runs = found.filter("window IS NULL").select("uid", "first", "last").unionByName(across.filter("n = 1").join(twice, "window").select("uid", "first", "last"))
     at = F.shiftright("place", 16)
     spans = units.select("uid", "key", "place").distinct().join(runs, "uid").select(
         "key", F.struct((at - F.col("last")).alias("s"), (at - F.col("first") + SPAN).alias("e")).alias("v")).groupBy("key").agg(F.collect_list("v").alias("spans"))
