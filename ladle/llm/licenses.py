@@ -2,7 +2,8 @@
 
 Words are runs of letters, digits and non-ASCII characters of the text with A-Z lower-cased. Base phrases are looked up
 word by word; every place counts. The signature rules are regular expressions built from ``LICENSES`` and ``TEMPLATES``
-(several hundred), each with the keyword that gates it: a rule only runs on a text that holds its keyword. Where
+(several hundred), each with the keywords that gate it, one for each alternative of its name: a rule only runs on a text
+that holds one of them. A text is only cut into words if it holds a word that all rules need or one of a base phrase. Where
 detections overlap, rules of higher priority win and spans inside a kept span are suppressed. Labels of base phrases
 always stay.
 
@@ -27,11 +28,11 @@ BASE = {"under the mit license": "mit", "apache license version 2": "apache-2",
 
 #: label -> (keyword, name as a regular expression over the words of the text, joined by blanks).
 LICENSES = {
-    "mit": ("mit", "mit|expat|x11"), "apache-2": ("apache", "apache(?: software)?(?: license)?(?: version)? 2(?: 0)?"), "apache-1": ("apache", "apache(?: software)?(?: license)?(?: version)? 1(?: [01])?"),
+    "mit": ("mit|expat|x11", "mit|expat|x11"), "apache-2": ("apache", "apache(?: software)?(?: license)?(?: version)? 2(?: 0)?"), "apache-1": ("apache", "apache(?: software)?(?: license)?(?: version)? 1(?: [01])?"),
     "gpl-1": ("gpl|general", "(?:gnu )?(?:gpl|general public license)(?: version)? ?v?1"), "gpl-2": ("gpl|general", "(?:gnu )?(?:gpl|general public license)(?: version)? ?v?2"), "gpl-3": ("gpl|general", "(?:gnu )?(?:gpl|general public license)(?: version)? ?v?3"),
     "lgpl-2": ("lgpl|lesser|library", "(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version)? ?v?2(?: [01])?"), "lgpl-3": ("lgpl|lesser", "(?:gnu )?(?:lgpl|lesser general public license)(?: version)? ?v?3"),
-    "agpl-3": ("agpl|affero", "(?:gnu )?(?:agpl|affero general public license)(?: version)? ?v?3"), "fdl-1": ("fdl|documentation", "(?:gnu )?(?:fdl|gfdl|free documentation license)(?: version)? ?v?1(?: [123])?"),
-    "bsd-2": ("bsd", "(?:simplified bsd|freebsd|bsd 2(?: clause)?|2 clause bsd)"), "bsd-3": ("bsd", "(?:new bsd|modified bsd|bsd 3(?: clause)?|3 clause bsd)"), "bsd-4": ("bsd", "(?:original bsd|bsd 4(?: clause)?|4 clause bsd)"), "bsd-0": ("0bsd|bsd", "(?:0bsd|zero clause bsd)"),
+    "agpl-3": ("agpl|affero", "(?:gnu )?(?:agpl|affero general public license)(?: version)? ?v?3"), "fdl-1": ("fdl|gfdl|documentation", "(?:gnu )?(?:fdl|gfdl|free documentation license)(?: version)? ?v?1(?: [123])?"),
+    "bsd-2": ("bsd|freebsd", "(?:simplified bsd|freebsd|bsd 2(?: clause)?|2 clause bsd)"), "bsd-3": ("bsd", "(?:new bsd|modified bsd|bsd 3(?: clause)?|3 clause bsd)"), "bsd-4": ("bsd", "(?:original bsd|bsd 4(?: clause)?|4 clause bsd)"), "bsd-0": ("0bsd|bsd", "(?:0bsd|zero clause bsd)"),
     "isc": ("isc", "isc"), "zlib": ("zlib", "zlib(?: libpng)?"), "libpng": ("libpng", "libpng(?: 2)?"), "unlicense": ("unlicense", "unlicense"), "wtfpl": ("wtfpl", "wtfpl"), "beerware": ("beerware|beer", "beer ?ware"),
     "mpl-1": ("mozilla|mpl", "(?:mozilla public license|mpl)(?: version)? ?v?1(?: [01])?"), "mpl-2": ("mozilla|mpl", "(?:mozilla public license|mpl)(?: version)? ?v?2(?: 0)?"),
     "epl-1": ("eclipse|epl", "(?:eclipse public license|epl)(?: version)? ?v?1(?: 0)?"), "epl-2": ("eclipse|epl", "(?:eclipse public license|epl)(?: version)? ?v?2(?: 0)?"),
@@ -80,12 +81,17 @@ def detect(words: str, ordered: list[tuple[int, float, str, re.Pattern, re.Patte
 
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-#: Every rule and base phrase needs one of these somewhere in the text.
-GATE = re.compile(rb"licen[sc]e|cc|under ", re.S)
+#: Every rule needs one of these somewhere in the text.
+GATE = rb"licen[sc]e|under"
 #: Words on each side of a gate word that the rules can see; no signature is longer.
 REACH = 24
 
 
+def _gate(phrases: list[list[str]]) -> re.Pattern:
+    """Found in every text that holds one of ``phrases``, by its longest word, or something that a rule can match."""
+    return re.compile(b"|".join([GATE, *sorted({re.escape(max(p, key=len).encode()) for p in phrases})]))
+
+
 def _phrases(words: list[str], phrase: list[str]) -> list[int]:
     at, out = -1, []
     try:
@@ -101,13 +107,16 @@ def _near(words: list[str]) -> list[str]:
     """Stretches of text around the words that may start a detection."""
     out, last = [], -1
     for i, w in enumerate(words):
-        if w.startswith(("licen", "cc", "creative", "under")):
-            lo, hi = max(0, i - REACH), min(len(words), i + REACH + 1)
+        if w.startswith(("licen", "under")):
+            end = i + 1
+            while end < len(words) and words[end] in ("is", "of", "the"):
+                end += 1  # "license is the ..." may go on for any number of these
+            lo, hi = max(0, i - REACH), min(len(words), end + REACH)
             if out and lo <= last:
-                out[-1] = (out[-1][0], hi)
+                out[-1] = (out[-1][0], max(last, hi))
             else:
                 out.append((lo, hi))
-            last = hi
+            last = out[-1][1]
     return [" ".join(words[a:b]) for a, b in out]
 
 
@@ -119,7 +128,7 @@ def scan(docs: DataFrame, base: dict[str, str] | None = None) -> DataFrame:
     phrases = [(p.split(), label) for p, label in (base or BASE).items()]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ordered = rules()
+        ordered, gate = rules(), _gate([p for p, _ in phrases])
         is_word = np.zeros(256, bool)
         is_word[0x30:0x3A] = is_word[0x61:0x7B] = is_word[0x80:] = True
         for batch in batches:
@@ -133,7 +142,7 @@ def scan(docs: DataFrame, base: dict[str, str] | None = None) -> DataFrame:
                 for i in range(end - first):
                     text = raw[offsets[i]:offsets[i + 1]]
                     hits, base_labels, labels, score = [], set(), set(), 0.0
-                    if GATE.search(text):
+                    if gate.search(text):
                         words = WORD.findall(text.decode("utf-8", "replace"))
                         for phrase, label in phrases:
                             if at := _phrases(words, phrase):

@@ -255,6 +255,43 @@ def test_licenses_base_equals_brute_force(docs, odd, spark):
     assert licenses.scan(docs.limit(0)).count() == 0 and len(licenses.rules()) > 200
 
 
+def written(tree):
+    """Every string that a parsed name can stand for; optional parts are left out or taken once."""
+    out = [""]
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            parts = [chr(arg)]
+        elif op == "IN":
+            parts = [chr(c) for _, c in arg]
+        elif op == "BRANCH":
+            parts = [x for branch in arg[1] for x in written(branch)]
+        elif op == "SUBPATTERN":
+            parts = written(arg[3])
+        elif op == "MAX_REPEAT":
+            parts = ["", *written(arg[2])]
+        else:
+            assert op == "ASSERT_NOT", op
+            parts = [""]
+        out = [a + b for a in out for b in parts]
+    return out
+
+
+def test_license_gates_lose_no_detection(spark):
+    ordered = [(*rule[:3], re.compile(""), rule[4]) for rule in licenses.rules()]
+    frames = ["Released and sold under\n{}.", "SPDX-License-Identifier: {}", "licensed as {}", "a {} licence", "license is of the {}", "Licence is " + "the " * 60 + "{} or not", "under\t{}"]
+    rows = [(i, frame.format(name)) for i, (frame, name) in enumerate(
+        (frame, name) for _, name in licenses.LICENSES.values() for name in written(re._parser.parse(name)) for frame in frames)]
+    rows += [(-1, "licensed under the expat license"), (-2, "under the x11 license"), (-3, "released under the freebsd license"), (-4, "licensed under the gfdl 1 3"), (-5, "released under\nGPL version 2")]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), {"no such words": "none"}).collect()}
+    for i, text in rows:
+        found = licenses.detect(" ".join(licenses.WORD.findall(text.lower())), ordered)
+        assert got[i] == (",".join(sorted({label for _, _, label, _ in found})), max((w for *_, w in found), default=0.0)), text
+    assert [got[-i][0] for i in range(1, 6)] == ["mit", "mit", "bsd-2", "fdl-1", "gpl-2"]
+    own = licenses.scan(spark.createDataFrame([(1, "The Foo-Bar é terms"), (2, "foo é bar")], "doc_id long, text string"), {"foo bar é": "own"})
+    assert {r.doc_id: r.base_labels for r in own.collect()} == {1: "own", 2: ""}
+
+
 def test_quality_on_held_out_rows(spark, odd):
     docs, labels = (read(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     model = quality.fit(docs, labels)
