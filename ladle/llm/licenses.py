@@ -3,8 +3,8 @@
 Words are runs of letters, digits and non-ASCII characters of the text with A-Z lower-cased. Base phrases are looked up
 word by word; every place counts. The signature rules are regular expressions built from ``LICENSES`` and ``TEMPLATES``
 (several hundred), each with the keywords that gate it, one for each alternative of its name: a rule only runs on a text
-that holds one of them. A text is only cut into words if it holds a word that all rules need or one of a base phrase. Where
-detections overlap, rules of higher priority win and spans inside a kept span are suppressed. Labels of base phrases
+that holds one of them. A text is only cut into words if it holds a word that all rules need or one of a base phrase. Rules
+of higher priority come first, and spans inside a kept span are suppressed; spans that only overlap a kept one stay. Labels of base phrases
 always stay.
 
 Defined cases: a null or empty text has no words, no labels and score 0; repeated rows are scanned alike; extra columns
@@ -75,7 +75,7 @@ def detect(words: str, ordered: list[tuple[int, float, str, re.Pattern, re.Patte
             found += [(priority, m.start() - m.end(), rank, m.start(), m.end(), label, weight) for m in signature.finditer(words)]
     kept: list[tuple[int, int, str, float]] = []
     for _, _, _, start, end, label, weight in sorted(found):
-        if not any(start < e and s < end for s, e, _, _ in kept):
+        if not any(s <= start and end <= e for s, e, _, _ in kept):
             kept.append((start, end, label, weight))
     return sorted(kept)
 

@@ -292,6 +292,13 @@ def test_license_gates_lose_no_detection(spark):
     assert {r.doc_id: r.base_labels for r in own.collect()} == {1: "own", 2: ""}
 
 
+def test_lists_of_licenses_keep_every_label(spark):
+    want = {"MIT License, Apache License 2.0": "apache-2,mit", "MIT License, MPL 2.0": "mit,mpl-2", "ISC License; zlib License; GPL v3": "gpl-3,isc,zlib",
+            "Licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa", "License: CC BY-NC-SA license": "cc-by-nc-sa", "licensed under the GNU Lesser General Public License version 2.1": "lgpl-2"}
+    got = licenses.scan(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string"), {"no such words": "none"}).collect()
+    assert {r.doc_id: r.labels for r in got} == dict(enumerate(want.values()))
+
+
 def test_quality_on_held_out_rows(spark, odd):
     docs, labels = (read(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     model = quality.fit(docs, labels)
