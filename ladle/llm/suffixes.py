@@ -7,16 +7,18 @@ around anchors, what follows (the suffix) and what precedes. A unit is an anchor
 
 1. Anchors whose GRAM bytes occur once in the corpus are dropped; no window of theirs is repeated.
 2. Units with equal bytes are one unit with a count.
-3. Sampled splitters range-partition the units by their suffixes; every bucket sorts its suffixes, and the reversed texts
+3. Sampled splitters range-partition the units by suffix and then by the reversed text before the anchor, so that a suffix
+   of any frequency is split too; the number of buckets follows the number of units. Every bucket sorts its suffixes, and the reversed texts
    before the anchors, by multikey quicksort on words of eight bytes, which also yields the common prefixes. Two windows at
    the same distance from their anchors are equal if both common prefixes are long enough.
 4. Where a suffix shares enough bytes with a splitter next to it, its class may reach over the boundary: such windows are
-   compared across buckets by digest, in an aggregate that combines on the map side. A suffix so frequent that it would fill
-   a bucket is hit by the splitters, and thereby counted in this way.
+   compared across buckets by digest, in an aggregate that combines on the map side. Before that, such units are compared by
+   their GRAM bytes with the last 12, 24, 36, ... bytes before: windows that reach farther left than any other unit goes along
+   have no partner and need no digest. So many texts before one hot passage cost a few digests each.
 
 Everything is judged on the input texts. Texts are named by a 64-bit hash, so repeated rows and null or repeated ids do no
 harm. Defined cases: a null text is empty; texts shorter than SPAN keep all bytes; extra columns are ignored; an empty table
-gives an empty result. Splitters are all that reaches the driver: ``SAMPLE * MAX_BUCKETS`` suffixes of SPAN bytes at most.
+gives an empty result. Sampled units are all that reaches the driver, SAMPLE of at most SPAN + REACH bytes for each bucket.
 """
 
 from __future__ import annotations
@@ -33,7 +35,9 @@ from ladle.llm import common
 
 SPAN, GRAM = 200, 48
 REACH = SPAN - GRAM  # an anchor lies at most so far behind the start of its window
-BUCKET_UNITS, MAX_BUCKETS, SAMPLE = 20_000, 4096, 20
+BUCKET_UNITS, SAMPLE = 20_000, 20
+#: Distances before the anchor at which units with windows in several buckets are compared first.
+LADDER = tuple(range(12, REACH + 1, 12))
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -141,32 +145,63 @@ def _common_prefix(a: bytes, b: bytes) -> int:
     return lo
 
 
-def _bucket_of(splitters: list[bytes]):
+def _sides(part: bytes, far: int) -> tuple[bytes, bytes]:
+    """What follows from the anchor on, and the reversed text before it; units are sorted by both."""
+    return part[far:], part[far - 1::-1] if far else b""
+
+
+def _bucket_of(splitters: list[tuple[bytes, bytes]]):
+    """Adds the bucket, and how many bytes the suffix shares with the splitters next to it: no more with any in other buckets."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from bisect import bisect_right
 
         for batch in batches:
-            far, parts = batch.column("far").to_pylist(), batch.column("part").to_pylist()
-            buckets = [bisect_right(splitters, p[f:]) for f, p in zip(far, parts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(buckets, pa.int32())], names=[*batch.schema.names, "bucket"])
+            buckets, touch = [], []
+            for far, part in zip(batch.column("far").to_pylist(), batch.column("part").to_pylist()):
+                sides = _sides(part, far)
+                b = bisect_right(splitters, sides)
+                buckets.append(b)
+                touch.append(max((_common_prefix(sides[0], e) for e, _ in splitters[max(0, b - 1):b + 1]), default=0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(buckets, pa.int32()), pa.array(touch, pa.int32())], names=[*batch.schema.names, "bucket", "touch"])
     return task
 
 
+def _ladder_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of the GRAM bytes and the last LADDER bytes before them."""
+    for batch in batches:
+        rows = []
+        for uid, far, part in zip(*(batch.column(c).to_pylist() for c in ("uid", "far", "part"))):
+            for x in LADDER:
+                if x > far:
+                    break
+                rows.append((uid, x, hashlib.blake2b(part[far - x:far + GRAM], digest_size=16, salt=bytes([x])).digest()))
+        cols = list(zip(*rows)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int32(), pa.binary()))], names=["uid", "x", "rung"])
+
+
+def _alone_from(dealt: DataFrame) -> DataFrame:
+    """(uid, alone): the least distance from which on no window of the unit has a partner in another bucket.
+
+    A partner would have the same bytes at that distance, and touch a splitter as well.
+    """
+    rungs = dealt.filter(f"touch >= {SPAN} - far").select("uid", "far", "part").mapInArrow(_ladder_task, "uid binary, x int, rung binary")
+    single = rungs.groupBy("rung").agg(F.count("*").alias("c"), F.min("uid").alias("uid"), F.min("x").alias("x")).filter("c = 1")
+    return single.groupBy("uid").agg(F.min("x").alias("alone"))
+
+
 _FOUND = "uid binary, first int, last int, window binary, n long"
 
 
-def _bucket_task(splitters: list[bytes]):
+def _bucket_task():
     def task(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
         uid, far = table.column("uid").to_pylist(), np.array(table.column("far"))
         parts, n = table.column("part").to_pylist(), np.array(table.column("n"))
         size = len(parts)
-        rights = [p[f:] for p, f in zip(parts, far.tolist())]
+        touch, alone = np.array(table.column("touch")), np.array(table.column("alone"))
+        rights, lefts = zip(*map(_sides, parts, far.tolist()))
         near = SPAN - np.array([len(r) for r in rights])
-        edges = splitters[max(0, bucket - 1):bucket + 1]
-        touch = np.array([max((_common_prefix(r, e) for e in edges), default=0) for r in rights])
         orders = []
-        for strings, width in ((rights, SPAN), ([p[f - 1::-1] if f else b"" for p, f in zip(parts, far.tolist())], REACH)):
+        for strings, width in ((rights, SPAN), (lefts, REACH)):
             order, shared = multikey_sort(_words(strings, width))
             place = np.empty(size, np.int64)
             place[order] = np.arange(size)
@@ -183,7 +218,7 @@ def _bucket_task(splitters: list[bytes]):
                 total = np.bincount(same, n[own])
                 repeated[own, x + 1] = total[same] >= 2
                 # One window speaks for its class where the class may go on in other buckets.
-                over += [(u, x, t) for u, t in zip(own[lead].tolist(), total.tolist()) if touch[u] >= SPAN - x]
+                over += [(u, x, t) for u, t in zip(own[lead].tolist(), total.tolist()) if touch[u] >= SPAN - x and x < alone[u]]
         step = np.diff(repeated.astype(np.int8), axis=1)
         u, first = np.nonzero(step == 1)
         _, last = np.nonzero(step == -1)
@@ -228,12 +263,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         _unit_task, "uid binary, key long, place long, far int, part binary"), "units")
     distinct = common.stage(units.groupBy("uid").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.max("part").alias("part")), "distinct")
     total = distinct.count()
-    buckets = min(MAX_BUCKETS, max(1, -(-total // BUCKET_UNITS)))
-    taken = distinct.select("far", "part").sample(min(1.0, SAMPLE * buckets / max(total, 1)), seed=3).limit(SAMPLE * MAX_BUCKETS).collect() if buckets > 1 else []
-    sampled = sorted(bytes(r["part"])[r["far"]:] for r in taken)
+    buckets = max(1, -(-total // BUCKET_UNITS))
+    taken = distinct.select("far", "part").sample(min(1.0, SAMPLE * buckets / max(total, 1)), seed=3).collect() if buckets > 1 else []
+    sampled = sorted(_sides(bytes(r["part"]), r["far"]) for r in taken)
     splitters = sorted({sampled[len(sampled) * i // buckets] for i in range(1, buckets)}) if sampled else []
-    dealt = distinct.mapInArrow(_bucket_of(splitters), "uid binary, n long, far int, part binary, bucket int")
-    found = common.stage(dealt.groupBy("bucket").applyInArrow(_bucket_task(splitters), _FOUND), "found")
+    dealt = distinct.mapInArrow(_bucket_of(splitters), "uid binary, n long, far int, part binary, bucket int, touch int")
+    if splitters:
+        dealt = dealt.join(common.stage(_alone_from(dealt), "alone"), "uid", "left").select(*dealt.columns, F.coalesce("alone", F.lit(SPAN)).alias("alone"))
+    else:
+        dealt = dealt.select("*", F.lit(SPAN).alias("alone"))
+    found = common.stage(dealt.groupBy("bucket").applyInArrow(_bucket_task(), _FOUND), "found")
     across = found.filter("window IS NOT NULL")
     twice = across.groupBy("window").agg(F.sum("n").alias("total")).filter("total > 1").select("window")
     # Where a class has several windows in its bucket, the bucket has decided; the others ask what all buckets found.

@@ -68,6 +68,28 @@ def test_suffix_classes_cross_splitters(spark, monkeypatch):
     same(suffixes.remove_repeats(frame).collect(), repeats(texts(frame)))
 
 
+def test_a_hot_passage_is_dealt_over_buckets(spark, monkeypatch, tmp_path):
+    """400 texts go on with one passage; their own texts before it make as many units with one suffix."""
+    inner = suffixes._bucket_task
+
+    def counting(*args):
+        task = inner(*args)
+
+        def counted(table):
+            (tmp_path / str(table.column("bucket")[0].as_py())).write_text(f"{table.num_rows} {(found := task(table)).column('window').drop_null().length()}")
+            return found
+        return counted
+    monkeypatch.setattr(suffixes, "BUCKET_UNITS", 40)
+    monkeypatch.setattr(suffixes, "_bucket_task", counting)
+    rng = np.random.default_rng(5)
+    passage = bytes(rng.integers(97, 123, 420).astype(np.uint8)).decode()
+    rows = [(i, bytes(rng.integers(97, 123, 170).astype(np.uint8)).decode() + (f"same{i % 20:02}" * 4 if i % 4 == 0 else "") + passage) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    same(suffixes.remove_repeats(frame).collect(), repeats(rows))
+    units, digests = zip(*(map(int, f.read_text().split()) for f in tmp_path.iterdir()))
+    assert sum(units) >= 400 and max(units) <= 4 * 40 and sum(digests) <= 30 * sum(units)
+
+
 def test_multikey_sort_orders_and_measures():
     rng = np.random.default_rng(0)
     rows = [bytes(rng.integers(97, 99, 16).astype(np.uint8)) for _ in range(300)]
