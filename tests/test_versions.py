@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from ladle.operators import versions
+from ladle.operators import ordered, versions
 
 SCHEMA = "hk string, effective_ts timestamp_ntz, csn bigint, record_hash string"
 
@@ -83,3 +83,34 @@ def test_hot_key_is_cut_into_ranges(spark):
         assert "hashpartitioning(hk" not in plan
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_scans_stay_in_the_jvm_and_split_one_instant(spark):
+    """All rows of the hot key lie at one instant, yet several ranges hold them; no Python node is planned."""
+    at = datetime(2000, 1, 1)
+    df = spark.createDataFrame([("hot", at, i, f"h{i}") for i in range(900)] + [(None, at, i, "n") for i in range(5)], SCHEMA)
+    got = ordered.previous_value(df, "hk", [F.col("effective_ts")], "record_hash")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan
+    rows = got.collect()
+    assert sum(r["_previous"] is None for r in rows if r.hk) == 1 and len({r["_previous"] for r in rows if r.hk}) == 900
+    assert all(r["_previous"] is None for r in rows if r.hk is None)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert ordered._ranged(df, "hk", [F.col("effective_ts")], None).filter("hk = 'hot'").select("_scan_range").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_row_numbers_match_brute_force(spark):
+    rows = history(900) + [(None, datetime(2000, 1, 1), 5000 + i, "z") for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.hk, r.csn): r.n for r in ordered.row_numbers(df, "hk", [F.col("effective_ts"), F.col("csn")], "n", cut_by=[F.col("effective_ts")]).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    by_key = {}
+    for r in sorted(rows, key=lambda r: (r[1], r[2])):
+        by_key.setdefault(r[0], []).append(r)
+    assert got == {(k, r[2]): i + 1 for k, log in by_key.items() for i, r in enumerate(log)}
