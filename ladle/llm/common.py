@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ladle import session
 
@@ -106,3 +111,90 @@ def blank_table() -> np.ndarray:
     table = np.ones(256, bool)
     table[list(BLANKS)] = False
     return table
+
+
+PIECE_BYTES = 1 << 20
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """(key, the next rows that have it) of sorted batches; a key may come in several runs."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.ones(batch.num_rows, bool)
+        if batch.num_rows > 1:
+            new[1:] = False
+            for k in keys:
+                a, b = batch.column(k).slice(1), batch.column(k).slice(0, batch.num_rows - 1)
+                new[1:] |= ~np.asarray(pc.or_kleene(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))))
+        at = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(at, at[1:]):
+            yield tuple(batch.column(k)[a].as_py() for k in keys), batch.slice(a, b - a)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def ordered_digest(df: DataFrame, keys: list[str], order: list[str], value: str, separator: str) -> DataFrame:
+    """``keys`` and ``sha256``: lower-case hex of the key's values in ``order``, joined by ``separator``.
+
+    No key is gathered. Rows are range-partitioned by (keys, order) and read in order, as a stream; a key of less than
+    ``PIECE_BYTES`` inside one range is hashed there. Larger keys, and the first and last of a range, are passed on in pieces
+    of that size, and a second stream hashes the pieces of a key in order. As SHA-256 is sequential, that is one task for a
+    key, but it holds one piece at a time.
+    """
+    fields = df.select(*keys).schema
+    passed = T.StructType([*fields, T.StructField("_part", T.IntegerType()), T.StructField("_seq", T.LongType()),
+                           T.StructField("_piece", T.BinaryType()), T.StructField("sha256", T.StringType())])
+    arrow_passed, arrow_done = to_arrow_schema(passed), to_arrow_schema(T.StructType([*fields, T.StructField("sha256", T.StringType())]))
+    joint = separator.encode()
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq, out, key = TaskContext.get().partitionId(), 0, [], None
+        held, size, whole = [], 0, False  # whole: all values of the key so far are held, and it is not the range's first
+        for k, rows in _runs(batches, keys):
+            if k != key:
+                if key is not None and whole:
+                    out.append((*key, part, 0, None, hashlib.sha256(joint.join(held)).hexdigest()))
+                elif key is not None and held:
+                    out.append((*key, part, (seq := seq + 1), joint.join(held), None))
+                whole, key, held, size = key is not None, k, [], 0
+            for v in rows.column("_value").to_pylist():
+                held.append(v.encode())
+                size += len(held[-1]) + len(joint)
+                if size >= PIECE_BYTES:
+                    yield _batch([(*key, part, (seq := seq + 1), joint.join(held), None)], arrow_passed)
+                    held, size, whole = [], 0, False
+            if len(out) >= 10_000:
+                yield _batch(out, arrow_passed)
+                out = []
+        if held:
+            out.append((*key, part, seq + 1, joint.join(held), None))
+        yield _batch(out, arrow_passed)
+
+    def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, digest, out = None, None, []
+        for k, rows in _runs(batches, keys):
+            if k != key:
+                if key is not None:
+                    out.append((*key, digest.hexdigest()))
+                key, digest, first = k, hashlib.sha256(), True
+            for piece in rows.column("_piece"):
+                digest.update(piece.as_buffer() if first else joint)
+                if not first:
+                    digest.update(piece.as_buffer())
+                first = False
+            if len(out) >= 10_000:
+                yield _batch(out, arrow_done)
+                out = []
+        if key is not None:
+            out.append((*key, digest.hexdigest()))
+        yield _batch(out, arrow_done)
+
+    rows = df.select(*keys, *[F.col(c) for c in order if c not in keys], F.col(value).alias("_value"))
+    found = stage(rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).mapInArrow(pieces, passed), "pieces")
+    rest = found.filter("_piece IS NOT NULL").repartition(*keys).sortWithinPartitions(*keys, "_part", "_seq")
+    done = T.StructType([*fields, T.StructField("sha256", T.StringType())])
+    return found.filter("_piece IS NULL").select(*keys, "sha256").unionByName(rest.mapInArrow(streams, done))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import ann, chat, decontam, licenses, neardup, packing, pii, quality, suffixes, warc
+from ladle.llm import ann, chat, decontam, licenses, neardup, packing, pii, quality, suffixes, trie, warc
 from ladle.llm.common import read, stage
 
 
@@ -57,7 +57,12 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), share=0.8)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_ann, op3_pii, op4_neardup, op5_packing, op6_warc, op7_licenses, op8_quality, op9_chat, op10_decontam)}
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences, convs = trie.lend(stage(trie.turns(read(spark, sf_dir, "conversations")), "own"))
+    return trie.nodes(sequences, convs)
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_ann, op3_pii, op4_neardup, op5_packing, op6_warc, op7_licenses, op8_quality, op9_chat, op10_decontam, op11_trie)}
 
 _ESC = "coalesce({}, '')"
 for _raw, _coded in chat.ESCAPES:
@@ -71,7 +76,29 @@ def _shingled(table: str, key: str) -> str:
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM (SELECT {key}, {_WORDS} AS w FROM {table})"""
 
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, bit by bit: each character, then seven more shifts."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "(xor(a, x) >> 1)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda a, x: xor({step}, 3988292384 * (xor(a, x) & 1))), 4294967295::BIGINT)"
+
+
 ORACLES = {
+    "op11_trie": f"""
+        WITH o AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations WHERE conv_id IS NOT NULL),
+        k AS (SELECT c, c - c % 5 AS base, {_crc32("c::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT c FROM o)),
+        x AS (SELECT k.c, 0 AS own, i, r, t FROM k JOIN o ON o.c = base AND i <= h UNION ALL SELECT k.c, 1, i, r, t FROM k JOIN o ON o.c = k.c AND i > h),
+        p AS (SELECT c, row_number() OVER w AS d, octet_length(encode(t)) AS b, list({{'r': r, 't': t}}) OVER w AS pre, count(*) OVER (PARTITION BY c) AS n
+            FROM x WINDOW w AS (PARTITION BY c ORDER BY own, i)),
+        q AS (SELECT c, d, b, pre, n FROM p UNION ALL SELECT k.c, 0, 0, [], coalesce(n, 0) FROM k LEFT JOIN (SELECT c, max(n) AS n FROM p GROUP BY c) s ON s.c = k.c),
+        v AS (SELECT d, pre, min(c) AS rep, count(*) AS n, max(b) AS b, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (q.n = d) AS ends FROM q GROUP BY d, pre),
+        m AS (SELECT q.c, q.d, v.rep FROM q JOIN v ON q.d = v.d AND q.pre = v.pre),
+        e AS (SELECT v.*, u.rep AS parent FROM v LEFT JOIN m u ON u.c = v.rep AND u.d = v.d - 1),
+        f AS (SELECT e.d, e.rep, e.parent, e.n, e.b, e.ends, count(g.rep) AS kids FROM e LEFT JOIN e g ON g.d = e.d + 1 AND g.parent = e.rep GROUP BY ALL),
+        s AS (SELECT m.d, m.rep, count(*) FILTER (w.kids = 0) AS n_leaves, sum((w.n - 1) * w.b)::BIGINT AS saved FROM m JOIN f w ON w.rep = m.c AND w.d >= m.d GROUP BY m.d, m.rep)
+        SELECT f.rep AS conv_id, f.d AS depth, f.parent AS parent_conv_id, f.n AS n_convs, f.kids AS n_children, n_leaves, saved AS saved_tokens,
+            sha256(coalesce(f.ends, '')) AS ends_sha256 FROM f JOIN s USING (d, rep)""",
     "op6_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
         h AS (SELECT page_id, n, sha256(body) AS d FROM p),
