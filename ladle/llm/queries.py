@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import ann, chat, decontam, licenses, neardup, packing, pii, quality, suffixes, trie, warc
+from ladle.llm import ann, chat, decontam, licenses, neardup, packing, pii, quality, repair, suffixes, trie, warc
 from ladle.llm.common import read, stage
 
 
@@ -62,7 +62,11 @@ def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(sequences, convs)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_ann, op3_pii, op4_neardup, op5_packing, op6_warc, op7_licenses, op8_quality, op9_chat, op10_decontam, op11_trie)}
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(read(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_ann, op3_pii, op4_neardup, op5_packing, op6_warc, op7_licenses, op8_quality, op9_chat, op10_decontam, op11_trie, op12_repair)}
 
 _ESC = "coalesce({}, '')"
 for _raw, _coded in chat.ESCAPES:
@@ -83,7 +87,39 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda a, x: xor({step}, 3988292384 * (xor(a, x) & 1))), 4294967295::BIGINT)"
 
 
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 ORACLES = {
+    "op12_repair": f"""
+        WITH RECURSIVE raw AS (SELECT conv_id AS c, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS t,
+            {_crc32("(conv_id::VARCHAR || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k FROM conversations WHERE conv_id IS NOT NULL),
+        hurt AS (SELECT c, turn, CASE WHEN k = 4 THEN 'user' ELSE r END AS r, CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(t, '[.!?]', '', 'g') ELSE t END AS t,
+            unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM raw WHERE k <> 0),
+        x AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, r, t) AS i, rtrim(t, {_BLANKS}) AS e FROM hurt),
+        y AS (SELECT *, left(r, 1) AS f, row_number() OVER (PARTITION BY c, r, t ORDER BY i) > 1 AS seen, lag(left(r, 1)) OVER (PARTITION BY c ORDER BY i) AS was FROM x),
+        z AS (SELECT *, CASE WHEN e = '' THEN 'blank' WHEN seen THEN 'duplicate' WHEN right(e, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM y),
+        moves AS (SELECT * FROM (VALUES (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3), (0, 's', 1)) m(st, emit, nxt)),
+        size AS (SELECT c, max(i) AS n FROM z GROUP BY c),
+        w AS (SELECT c, 0::BIGINT AS i, 0 AS st, 0::BIGINT AS cost, '' AS audit FROM size UNION ALL
+            SELECT c, i + 1, st, (min(b)).cost, (min(b)).audit FROM (
+                SELECT v.c, v.i, coalesce(m.nxt, v.st) AS st, {{'cost': v.cost + CASE WHEN m.nxt IS NULL THEN 3 ELSE (CASE WHEN m.emit = z.f THEN 0 ELSE 2 END) + (fault = 'truncated')::INT END,
+                    'audit': v.audit || CASE WHEN m.nxt IS NULL THEN 'D' WHEN m.emit = z.f THEN 'K' ELSE 'R' END}} AS b
+                FROM (SELECT c, i, st, cost, audit FROM w UNION ALL SELECT w.c, w.i, m.nxt, w.cost + 2, w.audit || 'I' FROM w JOIN moves m ON m.st = w.st AND m.emit <> 's') v
+                JOIN z ON z.c = v.c AND z.i = v.i + 1
+                JOIN (SELECT * FROM moves UNION ALL SELECT NULL, NULL, NULL) m ON m.nxt IS NULL OR (m.st = v.st AND fault NOT IN ('blank', 'duplicate') AND (m.emit <> 's' OR z.f = 's'))
+            ) GROUP BY c, i, st),
+        finish AS (SELECT c, min({{'cost': cost + 2 * length(more), 'audit': audit || more}}) AS b FROM (
+            SELECT w.c, cost, audit, CASE st WHEN 0 THEN '' WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS more FROM w JOIN size ON size.c = w.c AND w.i = size.n) GROUP BY c),
+        letters AS (SELECT c, b.audit AS audit, unnest(range(1, length(b.audit) + 1)) AS k FROM finish),
+        placed AS (SELECT c, k, substr(audit, k, 1) AS o, length(replace(substr(audit, 1, k), 'I', '')) AS i, length(replace(substr(audit, 1, k), 'D', '')) AS p, length(replace(audit, 'D', '')) % 2 AS odd FROM letters),
+        fixed AS (SELECT placed.c, p, CASE WHEN o = 'K' THEN z.r WHEN (p - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN o = 'I' THEN '' ELSE z.t END AS line
+            FROM placed LEFT JOIN z ON z.c = placed.c AND z.i = placed.i WHERE o <> 'D'),
+        said AS (SELECT c, string_agg(line, chr(10) ORDER BY p) AS t FROM fixed GROUP BY c),
+        n AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+            count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (was || f NOT IN ('su', 'ua', 'au')) AS illegal FROM z GROUP BY c)
+        SELECT o.c AS conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+            coalesce(b.cost, 0)::BIGINT AS cost, coalesce(b.audit, '') AS audit, sha256(coalesce(said.t, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT c FROM raw) o LEFT JOIN n ON n.c = o.c LEFT JOIN finish ON finish.c = o.c LEFT JOIN said ON said.c = o.c""",
     "op11_trie": f"""
         WITH o AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations WHERE conv_id IS NOT NULL),
