@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import ann, chat, decontam, licenses, neardup, packing, pii, quality, repair, suffixes, trie, warc
+from ladle.llm import ann, chat, decontam, licenses, neardup, packing, pii, quality, repair, suffixes, toxicity, trie, warc
 from ladle.llm.common import read, stage
 
 
@@ -66,7 +66,15 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(read(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_ann, op3_pii, op4_neardup, op5_packing, op6_warc, op7_licenses, op8_quality, op9_chat, op10_decontam, op11_trie, op12_repair)}
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_ann, op3_pii, op4_neardup, op5_packing, op6_warc, op7_licenses, op8_quality, op9_chat, op10_decontam, op11_trie, op12_repair,
+                                   op13_toxicity)}
 
 _ESC = "coalesce({}, '')"
 for _raw, _coded in chat.ESCAPES:
