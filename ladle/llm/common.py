@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,20 +28,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back: work is done once and survives lost executors.
+    """Write ``df`` below the shared folder and read it back: work is done once and survives lost executors."""
+    path = session.shared_dir(df.sparkSession, name)
+    with shuffles_deleted(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    What was shuffled for it is deleted as soon as it is written.
-    """
-    spark = df.sparkSession
-    path = session.shared_dir(spark, name)
+
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """What a query shuffles is deleted as soon as its result is written."""
     cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(cleanup, "false")
     spark.conf.set(cleanup, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(cleanup, before)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -239,7 +239,18 @@ def test_crossover_keeps_every_item_once():
         assert child.fill == [sum(sizes[i] for i in items) for items in child.items]
 
 
-def test_warc_rejects_magic_inside_payloads(spark):
+@pytest.mark.parametrize("range_bytes", ["128m", "150b"])
+def test_warc_rejects_magic_inside_payloads(spark, range_bytes):
+    """Also where records, headers and magic lines lie across the byte ranges that tasks read."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", range_bytes)
+    try:
+        check_warc(spark)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def check_warc(spark):
     evil = "x\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:99999>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" + "y" * 200
     rows = [(1, "u v\r\nz", evil), (2, None, evil), (2, None, evil), (3, "a", None), (None, "n", "q" * 200), (None, "n", "q" * 200), (4, "b", "short"), (5, "b", "short"),
             (6, "c", "WARC/1.1\r\n" * 30), (7, "d", "é" * 90)]
