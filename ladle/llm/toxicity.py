@@ -97,9 +97,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, epochs: int
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").filter(fold(F.col("doc_id")) != 0)
     order = F.xxhash64(F.col("doc_id"), F.lit("toxic"))
     picked = known.select("doc_id", F.col("toxic").alias("label")).orderBy(order, "doc_id", "label").limit(fit_rows)
-    texts = docs.select("doc_id", "text").join(picked, "doc_id").withColumn("turn_order", F.xxhash64("doc_id", "text", "label"))
-    texts = texts.select("turn_order", "label", "text").orderBy("turn_order", "label").limit(fit_rows)
-    rows = common.stage(texts.mapInArrow(_rows, "turn_order bigint, label bigint, coordinates binary"), "toxic")
+    # ``picked`` has at most fit_rows pairs of numbers, so it is broadcast and no text is shuffled.
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").withColumn("turn_order", F.xxhash64("doc_id", "text", "label"))
+    rows = common.stage(texts.select("turn_order", "label", "text").mapInArrow(_rows, "turn_order bigint, label bigint, coordinates binary"), "toxic")
+    if rows.count() > fit_rows:  # several texts of an id: the bound holds for what was joined
+        rows = common.stage(rows.join(F.broadcast(rows.select("turn_order").orderBy("turn_order").limit(fit_rows).distinct()), "turn_order", "left_semi").limit(fit_rows), "toxic")
     z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     spark, l1 = docs.sparkSession, L1_ROOT * rows.count() ** 0.5
     for _ in range(epochs):

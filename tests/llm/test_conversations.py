@@ -199,4 +199,4 @@ def test_toxicity_bounds_and_empty_cases(spark, monkeypatch):
     inner = common.stage
     monkeypatch.setattr(common, "stage", lambda df, name: seen.append(out := inner(df, name)) or out)
     toxicity.fit(many, labels, fit_rows=20)
-    assert seen[0].count() == 20
+    assert seen[-1].count() == 20
