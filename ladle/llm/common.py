@@ -47,6 +47,14 @@ def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(cleanup, before)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads the bits of 64-bit hashes."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

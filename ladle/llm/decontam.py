@@ -7,8 +7,8 @@ class has the number of hits that a true container misses with probability below
 is counted exactly. Candidates are verified on the full sets of shingle strings.
 
 Words are the blank-separated strings of the lower-cased text. Defined cases: null or blank texts and items have no
-shingles and match nothing; a text with fewer than five words has its whole sequence as its one shingle; repeated items
-and repeated documents are all reported once per (doc_id, item_id); null ids are carried as they are; extra columns are
+shingles and match nothing; an item of one to four words is one shingle of its own length, looked for among all runs of that
+length, also inside longer documents (documents are cut into such runs only if such items exist); repeated items and repeated documents are reported once per (doc_id, item_id); null ids are carried as they are; extra columns are
 ignored here and kept by :func:`clean`. The index joins by broadcast only while Spark measures it as small.
 """
 
@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ladle.llm import common
+
 WIDTH = 5
 SKETCH = 24
 MISS = 1e-9
@@ -77,8 +79,31 @@ def index(items: DataFrame, share: float) -> DataFrame:
                         F.explode(F.slice("h", 1, SKETCH)).alias("hash")).distinct()
 
 
+def short_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Items of one to ``WIDTH - 1`` words: each is one shingle of its own length, looked for among all runs of that length."""
+    w = words(F.col("text"))
+    short = items.select("item_id", w.alias("w")).filter(f"size(w) < {WIDTH} AND w[0] <> ''").select("item_id", F.size("w").alias("n"), F.array_join("w", " ").alias("run")).distinct()
+    found = None
+    for n in sorted(r["n"] for r in short.select("n").distinct().collect()):  # at most WIDTH - 1 lengths
+        runs = F.arrays_zip(*[F.slice("w", i + 1, 1 << 30).alias(f"w{i}") if i else F.col("w").alias("w0") for i in range(n)])
+        each = docs.select("doc_id", w.alias("w")).filter(F.size("w") >= n).select("doc_id", F.explode(runs).alias("r"))
+        each = each.filter(F.col(f"r.w{n - 1}").isNotNull()).select("doc_id", F.concat_ws(" ", *[F.col(f"r.w{i}") for i in range(n)]).alias("run"))
+        held = each.join(short.filter(F.col("n") == n).select("item_id", "run"), "run").select("doc_id", "item_id").distinct()
+        found = held if found is None else found.unionByName(held)
+    one = F.lit(1).cast("long")
+    return None if found is None else found.select("doc_id", "item_id", one.alias("n_item"), one.alias("n_shared"), F.lit(1.0).alias("containment"))
+
+
 def matches(docs: DataFrame, items: DataFrame, share: float = 0.8) -> DataFrame:
     """doc_id, item_id, n_item, n_shared, containment: items of which a document holds at least ``share``."""
+    short = short_matches(docs, items)
+    long_items = items.select("item_id", "text").filter(F.size(words(F.col("text"))) >= WIDTH)
+    found = _long_matches(docs, long_items, share)
+    return found if short is None else found.unionByName(short).groupBy("doc_id", "item_id").agg(
+        F.max_by(F.struct("n_item", "n_shared", "containment"), F.struct("containment", "n_item")).alias("m")).select("doc_id", "item_id", "m.*")
+
+
+def _long_matches(docs: DataFrame, items: DataFrame, share: float) -> DataFrame:
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("doc_key"))
     idx = index(items, share)
     hits = shingles(docs, "doc_id", "doc_key").join(idx, "hash").distinct()
@@ -101,5 +126,6 @@ def matches(docs: DataFrame, items: DataFrame, share: float = 0.8) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, share: float = 0.8) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    bad = matches(docs, items, share).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    name = common.free_name(docs, "_bad")
+    bad = matches(docs, items, share).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

@@ -262,9 +262,21 @@ def classes(docs: DataFrame, percent: int = 85, k: int = SKETCH, fine: int = FIN
 
 
 def keep_one(docs: DataFrame, percent: int = 80, k: int = SKETCH) -> DataFrame:
-    """One document of each component stays, the one with the smallest id, with all its columns; so do rows with a null id."""
-    gone = classes(docs, percent, k).filter("NOT kept").select("doc_id").distinct()
-    rows = docs.join(gone, "doc_id", "left_anti")
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    named = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(own).alias("_row")).select("_row.*")
-    return named.unionByName(rows.filter("doc_id IS NULL"))
+    """One document of each component stays, the one with the smallest id, with all its columns; so do rows with a null id.
+
+    Different texts under one id are different documents: all but one of them take part under numbers beyond 2**62 made of a hash
+    of id and text, so each goes only if it is a near duplicate itself. Of fully equal ids and texts one row stays.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    rows = rows.select("row", F.col("row.doc_id").cast("long").alias("id"), F.xxhash64(text).alias("key"))
+    several = common.stage(rows.filter("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first <> last").select("id", "first"), "several")
+    if several.isEmpty():
+        rows = rows.withColumn("node", F.col("id"))
+    else:
+        other = F.shiftrightunsigned(F.xxhash64("id", F.col("row.text")), 2) + F.lit(1 << 62)
+        rows = rows.join(several, "id", "left").withColumn("node", F.when(F.col("first").isNull() | (F.col("first") == F.col("key")), F.col("id")).otherwise(other))
+    gone = classes(rows.select(F.col("node").alias("doc_id"), F.col("row.text").alias("text")), percent, k).filter("NOT kept").select(F.col("doc_id").alias("node")).distinct()
+    rows = rows.join(gone, "node", "left_anti")
+    named = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row")).select("row.*")
+    return named.unionByName(rows.filter("node IS NULL").select("row.*"))

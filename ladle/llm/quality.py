@@ -79,10 +79,10 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             stats, at, bucket, value = _features(data, offsets)
             cut = np.searchsorted(at, np.arange(end - first + 1))
             yield pa.RecordBatch.from_arrays([
-                batch.column("label").slice(first, end - first).cast(pa.int64()),
+                batch.column("key").slice(first, end - first), batch.column("label").slice(first, end - first).cast(pa.int64()),
                 pa.array([r.tobytes() for r in stats], pa.binary()),
                 pa.array([bucket[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-                pa.array([value[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["label", "stats", "bucket", "value"])
+                pa.array([value[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["key", "label", "stats", "bucket", "value"])
 
 
 def fold(doc_id: Column) -> Column:
@@ -94,8 +94,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, epochs: int =
     """Fit on labelled rows whose fold is not 0, at most ``fit_rows`` of them (a documented bound; features are of whole texts)."""
     known = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").filter(fold(F.col("doc_id")) != 0)
     picked = known.select("doc_id", F.col("quality").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(fit_rows)
-    rows = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("label", "text")
-            .mapInArrow(_sample_features, "label long, stats binary, bucket binary, value binary").collect())
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(F.xxhash64("doc_id", "text", "label").alias("key"), "label", "text")
+    found = common.stage(texts.mapInArrow(_sample_features, "key long, label long, stats binary, bucket binary, value binary"), "quality")
+    if found.count() > fit_rows:  # several texts of an id: the bound holds for what is collected
+        found = found.join(F.broadcast(found.select("key").orderBy("key").limit(fit_rows).distinct()), "key", "left_semi").limit(fit_rows)
+    rows = found.drop("key").collect()
     model = {"bias": 0.0, "w": np.zeros(BUCKETS + len(STATS), np.float32), "v": np.zeros((BUCKETS + len(STATS), FACTORS), np.float32),
              "mean": np.zeros(len(STATS), np.float32), "scale": np.ones(len(STATS), np.float32)}
     if not rows:
@@ -149,4 +152,5 @@ def score(docs: DataFrame, model: dict, column: str = "score") -> DataFrame:
 
 def keep(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject."""
-    return score(docs, model, "_quality").filter(F.col("_quality") >= threshold).drop("_quality")
+    name = common.free_name(docs, "_quality")
+    return score(docs, model, name).filter(F.col(name) >= threshold).drop(name)

@@ -162,8 +162,12 @@ ORACLES = {
                 WHEN was = 'user' THEN role = 'assistant' ELSE FALSE END) AS valid
         FROM t GROUP BY conv_id""",
     "op10_decontam": f"""
-        WITH d AS ({_shingled('documents', 'doc_id')}), i AS ({_shingled('benchmark', 'item_id')}),
+        WITH few AS (SELECT item_id, len(w) AS n, array_to_string(w, ' ') AS s FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) BETWEEN 1 AND 4),
+        runs AS (SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s
+            FROM (SELECT doc_id, {_WORDS} AS w FROM documents), (SELECT DISTINCT n FROM few) WHERE len(w) >= n),
+        d AS ({_shingled('documents', 'doc_id')}), i AS ({_shingled("(SELECT * FROM benchmark WHERE item_id NOT IN (SELECT item_id FROM few))", 'item_id')}),
         n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY item_id),
         b AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (s) GROUP BY doc_id, item_id)
-        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM b JOIN n USING (item_id) WHERE n_shared * 1000 >= n_item * 800""",
+        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM b JOIN n USING (item_id) WHERE n_shared * 1000 >= n_item * 800
+        UNION ALL SELECT DISTINCT doc_id, item_id, 1, 1, 1.0 FROM runs JOIN few USING (n, s)""",
 }

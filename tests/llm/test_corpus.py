@@ -198,6 +198,40 @@ def test_neardup_links_across_a_hot_passage(spark):
     assert kept == set(range(150)) and neardup.classes(frame.limit(0)).count() == 0
 
 
+def test_keep_one_keeps_different_texts_of_one_id(spark):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, one), (1, two), (1, two), (2, three), (3, two + " tail"), (4, one), (None, one), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS node", "2 AS first", "'x' AS row", "4 AS id", "5 AS key")
+    got = neardup.keep_one(frame, 80)
+    assert got.columns == frame.columns
+    kept = texts(got)
+    # Of each of the three texts one copy stays, whatever its id; rows without an id stay.
+    assert len([r for r in kept if r[0] is None]) == 2 and sorted(t.split()[0] for d, t in kept if d is not None) == ["a0", "b0", "c0"]
+    lone = spark.createDataFrame([(1, one), (1, two), (2, three)], "doc_id long, text string")
+    same(texts(neardup.keep_one(lone, 80)), [(1, one), (1, two), (2, three)])
+
+
+def test_quality_fit_bound_holds_after_the_join(spark, monkeypatch):
+    many = spark.range(600).selectExpr("3L AS doc_id", "concat('row ', id) AS text", "1 AS _quality", "2 AS key")
+    labels = spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = []
+    inner = np.stack
+    monkeypatch.setattr(quality.np, "stack", lambda x, **k: rows.append(len(x)) or inner(x, **k))
+    model = quality.fit(many, labels, fit_rows=6)
+    assert rows[0] == 6 and quality.keep(many, model).columns == many.columns
+
+
+def test_short_items_inside_longer_documents(spark):
+    items = spark.createDataFrame([(1, "Zulu"), (2, "two words"), (3, "a b c d"), (4, "a b c d e"), (5, None), (6, "zulu"), (None, "two words")], "item_id long, text string")
+    rows = [(1, "so zulu it is"), (2, "zulus two  WORDS here"), (3, "x a b\tc d y"), (4, "a b c d e f"), (5, "zulu"), (6, "two"), (7, None), (None, "one two words three four five")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _bad", "2 AS run", "3 AS n")
+    want = [(1, 1), (1, 6), (2, 2), (2, None), (3, 3), (4, 3), (4, 4), (5, 1), (5, 6), (None, 2), (None, None)]
+    got = decontam.matches(frame, items)
+    same([(r.doc_id, r.item_id) for r in got.collect()], want)
+    assert {(r.n_item, r.n_shared, r.containment) for r in got.collect()} == {(1, 1, 1.0)}
+    assert sorted(r.doc_id for r in decontam.clean(frame, items).collect()) == [6, 7]
+
+
 def test_packing_round_trip(docs, odd):
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(packing.default_vocabulary())
