@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ladle.operators.rollup import Measure, Rollup
+
 # Payload schema of plant telemetry, and of execution-system events.
 TELEMETRY_SCHEMA = ("deviceID string, tagName string, value double, timestamp bigint, quality string, "
                     "metadata map<string,string>")
@@ -80,24 +82,10 @@ def unmapped(records: DataFrame) -> DataFrame:
     return records.select("topic", F.col("timestamp").alias("ts"), F.col("value").cast("string").alias("_raw"))
 
 
-SENSOR = ("site", "asset", "tag")
-#: The output contract of the window aggregate.
-HEAT_CONTRACT = ("window_start", *SENSOR, "avg_value", "max_value", "samples", "hk")
-
-
-def _heat_stats() -> dict[str, Column]:
-    value = F.col("value")
-    return {"samples": F.count(F.lit(1)), "max_value": F.max(value), "avg_value": F.avg(value)}
-
-
-def window_aggregate(telemetry: DataFrame, size: str = "5 minutes", watermark: str | None = None) -> DataFrame:
-    """One row per tumbling window and sensor, in the columns of ``HEAT_CONTRACT``."""
-    readings = telemetry.withWatermark("ts", watermark) if watermark else telemetry
-    stats = [column.alias(name) for name, column in _heat_stats().items()]
-    per_window = readings.groupBy(F.window("ts", size).alias("bucket"), *SENSOR).agg(*stats)
-    opened = per_window.withColumn("window_start", F.col("bucket.start"))
-    parts = [F.lit(TELEMETRY_SYSTEM), *[F.col(c) for c in SENSOR], F.col("window_start").cast("string")]
-    return opened.withColumn("hk", F.sha2(F.concat_ws("|", *parts), 256)).select(*HEAT_CONTRACT)
+#: Readings of a sensor in windows of five minutes.
+SENSOR_WINDOWS = Rollup(
+    time="ts", width="5 minutes", fields=("site", "asset", "tag"), system=TELEMETRY_SYSTEM,
+    measures=(Measure("samples", "count"), Measure("max_value", "max", "value"), Measure("avg_value", "avg", "value")))
 
 
 def alerts(telemetry: DataFrame, limits: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -88,31 +87,32 @@ def _best_rows(scores: np.ndarray, order_key: np.ndarray, k: int) -> list[np.nda
 def top_k(index: DataFrame, key: str, vector: str, questions: dict[str, list[float]], k: int) -> DataFrame:
     """``(question, key, score)``: the k nearest vectors of every question, exactly.
 
-    The question list is the caller's; it travels with the task, in blocks of bounded length. Each
-    Arrow batch is scored by one matrix product and cut to k rows per question before anything
+    The question list is the caller's; it travels with the task, which works through it in blocks, so the index is read
+    once. Each Arrow batch is scored by one matrix product per block and cut to k rows per question before anything
     is shuffled, so neither pairs nor the index ever move. Ties go to the smaller key. A NULL vector
     scores 0; a vector of another width than the questions cannot be compared and takes no part.
     """
     names = list(questions)
-    if len(names) > QUESTIONS_AT_ONCE:
-        blocks = [names[i:i + QUESTIONS_AT_ONCE] for i in range(0, len(names), QUESTIONS_AT_ONCE)]
-        return reduce(DataFrame.unionByName, [top_k(index, key, vector, {n: questions[n] for n in b}, k) for b in blocks])
     width = len(questions[names[0]])
-    index = index.filter(F.col(vector).isNull() | (F.size(vector) == width))
     unit_q = _unit(np.array([questions[n] for n in names], dtype=np.float64))
     key_type = dict(index.dtypes)[key]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = np.round(_unit(_matrix(batch.column(1), width)) @ unit_q.T, 6)
-            keys = batch.column(0)
-            order_key = np.asarray(keys.to_pandas())
-            picks = _best_rows(scores, order_key, k)
-            flat = np.concatenate(picks)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n for n, p in zip(names, picks) for _ in p], pa.string()), keys.take(pa.array(flat)),
-                 pa.array(np.concatenate([scores[p, j] for j, p in enumerate(picks)]), pa.float64())],
-                ["question", key, "score"])
+            # Widths are checked here: a filter above the scan would evaluate the vector's expression a second time.
+            fits = np.asarray(pc.fill_null(pc.equal(pc.list_value_length(batch.column(1)), width), True))
+            if not fits.any():
+                continue
+            keys, column = (batch.column(i).filter(pa.array(fits)) for i in (0, 1))
+            unit, order_key = _unit(_matrix(column, width)), np.asarray(keys.to_pandas())
+            for first in range(0, len(names), QUESTIONS_AT_ONCE):
+                block = names[first:first + QUESTIONS_AT_ONCE]
+                scores = np.round(unit @ unit_q[first:first + QUESTIONS_AT_ONCE].T, 6)
+                picks = _best_rows(scores, order_key, k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([n for n, p in zip(block, picks) for _ in p], pa.string()), keys.take(pa.array(np.concatenate(picks))),
+                     pa.array(np.concatenate([scores[p, j] for j, p in enumerate(picks)]), pa.float64())],
+                    ["question", key, "score"])
 
     partial = index.select(key, vector).mapInArrow(search, f"question string, {key} {key_type}, score double")
     rank = F.row_number().over(Window.partitionBy("question").orderBy(F.col("score").desc(), F.col(key)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scalars import ts_text
-from ladle.operators import eventlog, expectations, lineage, policy, products, quality, telemetry, trust, vectors
+from ladle.operators import eventlog, expectations, lineage, policy, products, quality, telemetry, trust, vector_index, vectors
 from ladle.operators.cdc import snapshot_diff
 from ladle.operators.versions import current_rows
 from ladle.plans import gold, report_sales, silver
@@ -84,7 +84,7 @@ def _good(records: DataFrame) -> DataFrame:
 
 
 def _heat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry.window_aggregate(_good(_records(spark, sf_dir)))
+    return telemetry.SENSOR_WINDOWS.apply(_good(_records(spark, sf_dir)))
 
 
 @query("furnace_heat_5min", with_parts(TELEMETRY, f"""
@@ -699,15 +699,27 @@ def profile_search_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT * FROM search_customer_profiles(:q)", args={"q": PROFILE_QUESTION})
 
 
+@query("text_index_search", with_parts(_hash_search("documents", "doc_id", "text", DOC_QUESTION), """
+SELECT k AS doc_id, score, CAST(row_number() OVER (ORDER BY score DESC, k) AS INTEGER) AS rank FROM sc QUALIFY rank <= 5"""))
+def text_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same question against a stored index: texts are embedded when it is built, a search reads the nearest cells."""
+    path = shared_dir(spark, "text_index")
+    texts = staged(table(spark, sf_dir, "documents").select("doc_id", vectors.embed_column("text").alias("embedding")), "embedded")
+    vector_index.build(texts, "doc_id", "embedding", path, cells=32, parts=16)
+    question = {"q": vectors.token_vector(DOC_QUESTION).tolist()}
+    return vector_index.search(spark, path, "doc_id", "embedding", question, 5, probes=16).select("doc_id", "score", "rank")
+
+
 @query("vector_index_sync", with_parts(CUSTOMERS + """,
-a AS (SELECT * FROM cus WHERE effective_ts < TIMESTAMP '2000-01-15 00:00:00'
-      QUALIFY row_number() OVER (PARTITION BY hk ORDER BY effective_ts DESC, csn DESC) = 1),
 b AS (SELECT * FROM cus WHERE effective_ts < TIMESTAMP '2000-02-15 00:00:00'
-      QUALIFY row_number() OVER (PARTITION BY hk ORDER BY effective_ts DESC, csn DESC) = 1)""", """
-SELECT b.hk, concat_ws(' ', b.customer_name, b.country) AS text,
-       CAST(len(regexp_extract_all(lower(concat_ws(' ', b.customer_name, b.country)), '[\\pL\\pN]+')) AS DOUBLE) AS tokens FROM b"""))
+      QUALIFY row_number() OVER (PARTITION BY hk ORDER BY effective_ts DESC, csn DESC) = 1),
+tok AS (SELECT hk, unnest(regexp_extract_all(lower(concat_ws(' ', customer_name, country)), '[\\pL\\pN]+')) AS t FROM b),
+vec AS (SELECT hk, substr(md5(t), 3, 2) AS bucket, count(*) AS n FROM tok GROUP BY 1, 2)""", """
+SELECT b.hk, concat_ws(' ', b.customer_name, b.country) AS text, string_agg(bucket || ':' || n, ',' ORDER BY bucket) AS vector
+FROM b JOIN vec USING (hk) GROUP BY 1, 2"""))
 def vector_index_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bring an index of the earlier snapshot up to date from the change feed; only changes are embedded."""
+    """Bring the stored index of the earlier snapshot up to date from the change feed; only changes are embedded, only
+    touched cells are written. The vectors are read back from the index."""
     log = silver.customer(spark, sf_dir)
 
     def at(day: str) -> DataFrame:
@@ -715,10 +727,13 @@ def vector_index_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
         return staged(rows.select("hk", F.concat_ws(" ", "customer_name", "country").alias("text")), "snapshot")
 
     before, after = at("2000-01-15"), at("2000-02-15")
-    index = before.select("hk", "text", vectors.embed_column("text").alias("embedding"))
+    path = shared_dir(spark, "profile_index")
+    vector_index.build(staged(before.select("hk", vectors.embed_column("text").alias("embedding")), "embedded"), "hk", "embedding", path, cells=16)
     feed = snapshot_diff(before, after, ["hk"], ["text"])
-    return vectors.sync_index(index, feed, "hk", "text", "embedding").select(
-        "hk", "text", F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x).alias("tokens"))
+    vector_index.sync(spark, path, "hk", "embedding", feed.select("hk", vectors.embed_column("text").alias("embedding"), "change_type"))
+    stored = spark.read.parquet(f"{path}/cells").select("hk", F.array_join(F.filter(F.transform("embedding", lambda x, i: F.when(
+        x > 0, F.concat(F.lpad(F.lower(F.hex(i)), 2, "0"), F.lit(":"), x.cast("int").cast("string")))), lambda v: v.isNotNull()), ",").alias("vector"))
+    return stored.join(after, "hk").select("hk", "text", "vector")
 
 
 # ---------------------------------------------------------------- streams
@@ -730,7 +745,7 @@ FROM heat, lim WHERE window_start + INTERVAL 5 MINUTE <= wm"""))
 def furnace_heat_5min_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The window aggregate as a watermarked stream; windows still open at the end are not emitted."""
     records = feeds.broker_records(stream_table(spark, sf_dir, "events"))
-    windows = telemetry.window_aggregate(_good(records), watermark="15 minutes")
+    windows = telemetry.SENSOR_WINDOWS.apply(_good(records), "15 minutes")
     out = jobs.run_append(windows, shared_dir(spark, "heat_stream"))
     return out.select(text_ts("window_start"), "site", "asset", "tag", F.round("avg_value", 6).alias("avg_value"),
                       "max_value", "samples")

@@ -62,7 +62,7 @@ def test_stream_equals_batch_for_closed_windows_and_drops_late_rows(spark, tmp_p
             os.utime(file, (1_000_000 + i * 60, 1_000_000 + i * 60))
             seen.add(file)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
-    out = jobs.run_append(telemetry.window_aggregate(telemetry.parse_telemetry(stream), watermark="15 minutes"), str(tmp_path / "job"))
+    out = jobs.run_append(telemetry.SENSOR_WINDOWS.apply(telemetry.parse_telemetry(stream), "15 minutes"), str(tmp_path / "job"))
     got = {r.window_start.minute: (r.avg_value, r.max_value, r.samples) for r in out.collect()}
     assert got[0] == (3.0, 5.0, 3)
     assert got[5] == (9.0, 9.0, 1)
