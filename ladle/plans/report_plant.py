@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scalars import ts_text
-from ladle.operators import eventlog, expectations, lineage, policy, products, quality, telemetry, trust, vector_index, vectors
+from ladle.operators import eventlog, expectations, fingerprints, lineage, policy, products, quality, telemetry, trust, vector_index, vectors
 from ladle.operators.cdc import snapshot_diff
 from ladle.operators.versions import current_rows
 from ladle.plans import gold, report_sales, silver
 from ladle.plans.oracle_parts import CHANGES, CUSTOMERS, GOLD, ORDERS, TELEMETRY, TS, with_parts
 from ladle.plans.report_sales import _FEATURES, _NET, _features, num, staged, text_ts
 from ladle.session import shared_dir
-from ladle.sinks import VersionedTable, forbidden_operations
+from ladle.sinks import VersionedTable
 from ladle.sources import feeds, registry, seeds
 from ladle.sources.tables import stream_table, table
 from ladle.streaming import jobs
@@ -586,7 +586,7 @@ def post_load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("sources are registered", registry.registry_frame(spark).filter("active"), ">=", 6),
         ("landed records carry the envelope", report_sales.bronze_envelope(spark, sf_dir).filter(
             "_ingest_ts IS NULL OR _source_system IS NULL OR _raw IS NULL"), "==", 0),
-        ("silver history is insert-only", forbidden_operations(log.history()), "==", 0),
+        ("silver history is insert-only", fingerprints.violations(sil, log.read(), "source_system", ["hk", "csn"], sil.columns), "==", 0),
         ("hash keys are 64 hex digits", sil.filter(~F.col("hk").rlike("^[0-9a-f]{64}$")), "==", 0),
         ("fact customers exist", fact.filter("customer_hk IS NOT NULL").join(dim, "customer_hk", "left_anti"), "==", 0),
         ("row filter hides other regions", visible.filter("source_system NOT IN ('QAD', 'D365')"), "==", 0),

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scalars import date_to_day_serial, day_serial_to_date, implied_decimal, ts_text
-from ladle.operators import cdc, envelope, expectations, features, lineage, mapping, policy, products, quality, versions
+from ladle.operators import cdc, envelope, expectations, features, fingerprints, lineage, mapping, policy, products, quality, versions
 from ladle.operators.metrics import SALES_METRICS
 from ladle.plans import gold, silver
 from ladle.plans.oracle_parts import CHANGES, CUSTOMERS, GOLD, ORDERS, TS, with_parts
 from ladle.session import shared_dir
-from ladle.sinks import VersionedTable, forbidden_operations, materialize, publish_view, write_clustered
+from ladle.sinks import materialize, publish_view, write_clustered
 from ladle.sources import feeds, registry, seeds
 from ladle.sources.tables import table
 
@@ -262,21 +262,28 @@ def cursor_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("cursor_date"))
 
 
-@query("insert_only_audit", with_parts(CUSTOMERS, """
-SELECT 'APPEND' AS operation, 2 AS commits, (SELECT count(*) FROM cus) AS rows_in_table,
-       0 AS forbidden"""))
+@query("insert_only_audit", with_parts(CUSTOMERS + """,
+was AS (SELECT strftime(effective_ts, '%Y-%m') AS batch, hk, csn, country,
+               row_number() OVER (PARTITION BY strftime(effective_ts, '%Y-%m') ORDER BY hk, csn) AS up,
+               row_number() OVER (PARTITION BY strftime(effective_ts, '%Y-%m') ORDER BY hk DESC, csn DESC) AS down FROM cus),
+late AS (SELECT batch, hk, csn, CASE WHEN batch = '2000-02' AND down = 1 THEN 'zz' ELSE country END AS country FROM was
+         WHERE NOT (batch = '2000-02' AND up = 1)
+         UNION ALL SELECT batch, hk, csn + 1000, country FROM was WHERE batch = '2000-01' AND up = 1)""", """
+SELECT batch, count(was.hk) AS rows, count(*) FILTER (late.hk IS NULL) AS lost,
+       count(*) FILTER (was.hk IS NOT NULL AND late.hk IS NOT NULL AND was.country IS DISTINCT FROM late.country) AS changed,
+       count(*) FILTER (was.hk IS NULL) AS added,
+       count(*) FILTER (was.hk IS NULL OR late.hk IS NULL OR was.country IS DISTINCT FROM late.country) = 0 AS insert_only
+FROM was FULL JOIN late USING (batch, hk, csn) GROUP BY 1"""))
 def insert_only_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the customer log in two batches to an append-only table, then audit its history."""
-    log = silver.customer(spark, sf_dir)
-    target = VersionedTable(spark, shared_dir(spark, "customer_log"))
-    border = F.lit("2000-02-01").cast("timestamp_ntz")
-    target.append(log.filter(F.col("effective_ts") < border), "b1")
-    target.append(log.filter(F.col("effective_ts") >= border), "b2")
-    rows = target.read().agg(F.count("*").alias("rows_in_table"))
-    bad = forbidden_operations(target.history()).agg(F.count("*").alias("forbidden"))
-    ops = target.history().groupBy("operation").agg(F.count("*").cast("int").alias("commits"))
-    # Two single-row totals next to a handful of operations.
-    return ops.withColumns({"rows_in_table": F.lit(rows.first()[0]).cast("long"), "forbidden": F.lit(int(bad.first()[0]))})
+    """The customer log against a later state of it, in which one row was lost, one changed and one slipped into an old batch."""
+    log = staged(silver.customer(spark, sf_dir).select(F.date_format("effective_ts", "yyyy-MM").alias("batch"), "hk", "csn", "country"), "customer_log")
+    ends = log.groupBy("batch").agg(F.min(F.struct("hk", "csn")).alias("first"), F.max(F.struct("hk", "csn")).alias("last"))
+    own = F.struct("hk", "csn")
+    marked = log.join(ends, "batch").withColumns({"is_first": own == F.col("first"), "is_last": own == F.col("last")})
+    later = marked.filter("NOT (batch = '2000-02' AND is_first)").withColumn("country", F.expr("CASE WHEN batch = '2000-02' AND is_last THEN 'zz' ELSE country END"))
+    slipped = marked.filter("batch = '2000-01' AND is_first").withColumn("csn", F.col("csn") + 1000)
+    after = staged(later.unionByName(slipped).select(*log.columns), "customer_log_later")
+    return fingerprints.audit(log, after, "batch", ["hk", "csn"], ["hk", "csn", "country"])
 
 
 # ---------------------------------------------------------------- star schema

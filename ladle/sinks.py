@@ -75,7 +75,7 @@ class VersionedTable:
 
     def append(self, df: DataFrame, batch_id: str) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/data/batch={batch_id}")
-        entry = self.spark.createDataFrame([(batch_id, "APPEND")], "batch_id string, operation string")
+        entry = self.spark.createDataFrame([(batch_id,)], "batch_id string")
         entry.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/commits/entry={batch_id}")
 
@@ -94,8 +94,3 @@ class VersionedTable:
             return True
         except AnalysisException:
             return False
-
-
-def forbidden_operations(history: DataFrame) -> DataFrame:
-    """Deletes and updates in a table's history; an insert-only table has none."""
-    return history.filter(F.col("operation").isin("DELETE", "UPDATE", "MERGE"))
