@@ -346,31 +346,14 @@ FLOWS = [("view", "ot_furnace_telemetry", True), ("click", "ot_caster_history",
 
 
 def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress events of one flow per event type and day, with their metrics as JSON details."""
-    flow = F.col("event_type")
-    runs = table(spark, sf_dir, "events").groupBy(F.col("ts").cast("date").alias("day"), flow.alias("flow")).agg(
-        F.count_if(F.col("value") >= 5).alias("ok"), F.count_if(F.col("value") < 5).alias("low"),
-        F.count_if(F.get_json_object("props", "$.k").cast("int") < 10).alias("poor"),
-        F.max("ts").alias("last_ts"))
-    names = seeds.inline(spark, [(k, n) for k, n, _ in FLOWS], "flow string; flow_name string")
-    runs = runs.join(names, "flow")
-    read = F.col("ok") + F.col("low")
-    dataset = F.concat(F.lit("bronze."), F.col("flow_name"))
-
-    def counter(name: str, failed: str) -> Column:
-        return F.struct(F.lit(name).alias("name"), dataset.alias("dataset"),
-                        (read - F.col(failed)).alias("passed_records"), F.col(failed).alias("failed_records"))
-
-    details = F.to_json(F.struct(F.struct(
-        F.lit("COMPLETED").alias("status"), F.struct(F.col("ok").alias("num_output_rows")).alias("metrics"),
-        F.struct(F.col("low").alias("dropped_records"),
-                 F.array(counter("valid_pk", "low"), counter("good_quality", "poor")).alias("expectations")
-                 ).alias("data_quality")).alias("flow_progress")))
-    return runs.select(
-        F.concat(F.lit("pl-"), "flow_name").alias("pipeline_id"), F.lit("flow_progress").alias("event_type"),
-        F.date_trunc("second", "last_ts").cast("timestamp_ntz").alias("timestamp"),
-        F.struct(F.concat_ws("-", "flow", F.col("day").cast("string")).alias("update_id"), "flow_name").alias("origin"),
-        details.alias("details"))
+    """Progress stored by a stream over the events: micro-batches count rows and failed rules of each flow and day."""
+    rows = stream_table(spark, sf_dir, "events").join(seeds.inline(spark, [(k, n) for k, n, _ in FLOWS], "event_type string; flow_name string"), "event_type")
+    rows = rows.withColumn("grade", F.get_json_object("props", "$.k").cast("int"))
+    progress = jobs.run_counted(
+        rows, {"valid_pk": "value >= 5"}, {"good_quality": "grade >= 10"},
+        {"flow": F.col("event_type"), "source": F.col("flow_name"), "day": F.col("ts").cast("date")}, "ts", shared_dir(spark, "event_runs"))
+    events = jobs.progress_events(progress, F.concat(F.lit("pl-"), F.col("source")), F.concat_ws("-", "flow", F.col("day").cast("string")), F.col("source"))
+    return events.withColumn("timestamp", F.date_trunc("second", "timestamp").cast("timestamp_ntz"))
 
 
 def _registry(spark: SparkSession) -> DataFrame:

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ladle.operators import telemetry
 from ladle.operators.cdc import net_changes
-from ladle.operators.expectations import all_hold, failure_counts
+from ladle.operators.expectations import all_hold, failed_rules, failure_counts
 from ladle.sinks import VersionedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -49,22 +47,46 @@ def ingest_telemetry(records: DataFrame, source: dict) -> DataFrame:
     return with_counted_drops(parsed, source["expectations"], source["name"])
 
 
-def progress_events(query: StreamingQuery, metrics: str, pipeline_id: str, flow: str, table: str) -> list[tuple]:
-    """Progress reports of a finished run as event rows (pipeline_id, event_type, timestamp, origin, details)."""
-    events = []
-    for p in query.recentProgress:
-        seen = p.observedMetrics.get(metrics)
-        if seen is None:
-            continue
-        seen = seen.asDict()
-        read, kept = seen.pop("rows_read"), seen.pop("rows_kept")
-        expectations = [{"name": n, "dataset": table, "passed_records": read - f, "failed_records": f}
-                        for n, f in seen.items()]
-        details = {"flow_progress": {
-            "status": "COMPLETED", "metrics": {"num_output_rows": kept},
-            "data_quality": {"dropped_records": read - kept, "expectations": json.dumps(expectations)}}}
-        events.append((pipeline_id, "flow_progress", p.timestamp, (f"{p.runId}-{p.batchId}", flow), json.dumps(details)))
-    return events
+def run_counted(stream: DataFrame, drop: dict[str, str], warn: dict[str, str], by: dict[str, Column], at: str, base: str,
+                trigger: dict | None = None) -> DataFrame:
+    """Run an append job that stores rows and progress of every micro-batch, and return the progress table.
+
+    Rows go to ``rows/batch=n/kept=true`` or, if a rule of ``drop`` failed, to ``kept=false`` with the names of the failed rules; rules of
+    ``warn`` only count. Progress has a row per batch and value of ``by``: rows_read, rows_kept, the counts of failed rules and the last ``at``. Both
+    are written under the number of the batch, so a batch that is run again replaces what it wrote, and nothing is lost however
+    many batches there are. Counters are taken from the rows as written, once, on the executors.
+    """
+    rules = {**drop, **warn}
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        flagged = batch.withColumns({**by, "failed_rules": failed_rules(rules), "kept": all_hold(drop)})
+        flagged.write.mode("overwrite").partitionBy("kept").parquet(f"{base}/rows/batch={number}")
+        rows = spark.read.schema(flagged.schema).parquet(f"{base}/rows/batch={number}")
+        counts = [F.struct(F.lit(r).alias("name"), F.count_if(F.array_contains("failed_rules", r)).alias("failed")) for r in rules]
+        progress = rows.groupBy(*by).agg(F.count("*").alias("rows_read"), F.count_if("kept").alias("rows_kept"), F.max(at).alias("last_at"), F.array(*counts).alias("failed"))
+        progress.coalesce(1).write.mode("overwrite").parquet(f"{base}/progress/batch={number}")
+
+    query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(**(trigger or {"availableNow": True})).start())
+    query.awaitTermination()
+    return stream.sparkSession.read.parquet(f"{base}/progress")
+
+
+def progress_events(progress: DataFrame, pipeline: Column, run: Column, flow: Column) -> DataFrame:
+    """Stored progress as event rows (pipeline_id, event_type, timestamp, origin, details); batches of one run and flow add up."""
+    named = progress.select(pipeline.alias("pipeline_id"), run.alias("run"), flow.alias("flow"), "rows_read", "rows_kept", "last_at", F.inline("failed"))
+    rules = named.groupBy("pipeline_id", "run", "flow", "name").agg(
+        F.sum("failed").alias("failed"), F.sum("rows_read").alias("read"), F.sum("rows_kept").alias("kept"), F.max("last_at").alias("last_at"))
+    counter = F.struct("name", F.concat(F.lit("bronze."), F.col("flow")).alias("dataset"), (F.col("read") - F.col("failed")).alias("passed_records"),
+                       F.col("failed").alias("failed_records"))
+    runs = rules.groupBy("pipeline_id", "run", "flow").agg(
+        F.max("read").alias("read"), F.max("kept").alias("kept"), F.max("last_at").alias("last_at"), F.array_sort(F.collect_list(counter)).alias("counters"))
+    details = F.to_json(F.struct(F.struct(
+        F.lit("COMPLETED").alias("status"), F.struct(F.col("kept").alias("num_output_rows")).alias("metrics"),
+        F.struct((F.col("read") - F.col("kept")).alias("dropped_records"), F.col("counters").alias("expectations")).alias("data_quality")).alias("flow_progress")))
+    return runs.select("pipeline_id", F.lit("flow_progress").alias("event_type"), F.col("last_at").alias("timestamp"),
+                       F.struct(F.col("run").alias("update_id"), F.col("flow").alias("flow_name")).alias("origin"), details.alias("details"))
 
 
 def mirror_changes(changes: DataFrame, keys: list[str], seq: str, base: str,

@@ -84,25 +84,29 @@ def test_clustered_layout_keeps_rows_and_orders_files(spark, tmp_path):
     assert len(spans) == 4 and all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
 
 
-def test_stream_progress_becomes_batch_log_and_rejects(spark, tmp_path):
-    rules = {"valid_pk": "id IS NOT NULL", "small": "coalesce(id, 0) < 5"}
-    spark.createDataFrame([(1,), (None,), (9,), (2,)], "id int").coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = jobs.with_counted_drops(spark.readStream.schema("id int").parquet(str(tmp_path / "in")), rules, "m1")
-    out = []
-    query = (stream.writeStream.foreachBatch(lambda df, i: out.append(df.count()))
-             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    query.awaitTermination()
-    assert out == [2]
-    rows = jobs.progress_events(query, "m1", "p1", "flow", "bronze.t")
-    events = spark.createDataFrame(rows, "pipeline_id string, event_type string, timestamp string, origin struct<update_id:string,flow_name:string>, details string")
+def test_progress_of_more_than_a_hundred_batches_is_stored(spark, tmp_path):
+    """Every micro-batch leaves its counters; the engine itself remembers the last hundred."""
+    rows = [(i, i % 3, None if i % 10 == 0 else i % 7) for i in range(412)]
+    for n in range(103):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{n}.json").write_text("\n".join(json.dumps({"id": i, "flow": f, "v": v}) for i, f, v in rows[n * 4:n * 4 + 4]))
+    stream = spark.readStream.schema("id int, flow int, v int").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    base = str(tmp_path / "run")
+    progress = jobs.run_counted(stream, {"valid_pk": "v IS NOT NULL"}, {"small": "v < 5"}, {"part": F.col("flow")}, "id", base)
+    assert progress.select("batch").distinct().count() == 103 and progress.agg(F.sum("rows_read")).first()[0] == 412
+    assert spark.read.parquet(f"{base}/rows").filter("NOT kept").count() == sum(v is None for _, _, v in rows)
+    events = jobs.progress_events(progress, F.lit("p1"), F.lit("r1"), F.concat(F.lit("f"), F.col("part")))
     reg = seeds.inline(spark, [("p1", "true")], "pipeline_id string; active boolean")
     live = eventlog.active_events(events, reg)
-    rejects = {r.failed_rule: (json.loads(r.record_payload)["failed_records"], r.dq_dimension) for r in eventlog.rule_rejects(live).collect()}
-    assert rejects == {"valid_pk": (1, "COMPLETENESS"), "small": (1, "VALIDITY")}
-    log = eventlog.batch_log(live).first()
-    assert (log.rows_read, log.rows_written, log.rows_rejected) == (4, 2, 2)
+    log = {r.source_name: (r.rows_read, r.rows_written, r.rows_rejected) for r in eventlog.batch_log(live).collect()}
+    mine = lambda f: [v for _, x, v in rows if x == f]
+    assert log == {f"f{f}": (len(mine(f)), sum(v is not None for v in mine(f)), sum(v is None for v in mine(f))) for f in range(3)}
+    rejects = {(r.source_name, r.failed_rule): json.loads(r.record_payload)["failed_records"] for r in eventlog.rule_rejects(live).collect()}
+    assert rejects == {(f"f{f}", n): x for f in range(3) for n, x in (("valid_pk", sum(v is None for v in mine(f))), ("small", sum(v is None or v >= 5 for v in mine(f))))}
     off = seeds.inline(spark, [("p1", "false")], "pipeline_id string; active boolean")
     assert eventlog.active_events(events, off).count() == 0
+    again = jobs.run_counted(stream, {"valid_pk": "v IS NOT NULL"}, {"small": "v < 5"}, {"part": F.col("flow")}, "id", base)
+    assert again.count() == progress.count()  # a run with nothing new adds nothing
 
 
 def test_lineage_walk_and_drift(spark):
