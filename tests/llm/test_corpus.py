@@ -154,6 +154,58 @@ def test_pii_redaction_keeps_everything_else(spark):
     assert got[2] == ("clean", 5) and got[3][0] is None
 
 
+def redacted(text, spans):
+    out, at = [], 0
+    for kind, start, end in spans:
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_pii_redacts_exactly_the_reported_spans_and_keeps_clashing_columns(spark):
+    """Overlaps of kinds, block edges, characters beyond the first plane; columns of any name stay."""
+    texts_ = ["\U0001f600 a@1.2.3.4 +1.2.3.4.5.6.7.8.9 " + "é" * k + " x@y.de 4111 1111 1111 1111@b.c 078-05-1120 call 212-555-0123." for k in (0, 1, 440, 480, 505, 511, 512, 2000)]
+    frame = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string").selectExpr("*", "7 AS _s", "8 AS _new", "9 AS _found", "'mine' AS _cands")
+    found = pii.with_candidates(frame, "_spans")
+    accepted = pii.fit(found, name="_spans")
+    spans = {r.doc_id: [(k, int(s), int(e)) for k, s, e in (x.split(":") for x in r.spans.split(","))] for r in pii.report(found, accepted, "_spans").collect()}
+    rows = pii.redact(found, accepted, "_spans").collect()
+    assert {r.doc_id: r.text for r in rows} == {i: redacted(t, spans[i]) for i, t in enumerate(texts_)}
+    assert all((r._s, r._new, r._found, r._cands) == (7, 8, 9, "mine") for r in rows)
+
+
+def test_pii_other_spans_never_touch_base_spans(spark, docs):
+    found = pii.with_candidates(docs)
+    kinds = list(pii.KINDS)
+    every = pii.fit(found) + [f"{r.k}:{r.v}" for r in found.select(F.explode("_cands").alias("c")).select(F.col("c.kind").alias("k"), F.col("c.votes").alias("v")).distinct().collect()]
+    rows = pii.report(found, every).select("doc_id", "spans").collect()
+    cands = defaultdict(set)
+    for r in found.select("doc_id", F.explode("_cands").alias("c")).select("doc_id", "c.*").collect():
+        cands[r.doc_id].add((r.start, kinds.index(r.kind), r.end, r.base))
+    for doc_id, spans in rows:
+        base = [c for c in cands[doc_id] if c[3]]
+        more = [c for c in cands[doc_id] if c[1] > 3 and not any(b[0] < c[2] and c[0] < b[2] for b in base)]
+        assert spans == ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e, _ in sorted(base + more))
+
+
+def test_pii_lists_vote_on_the_decided_kinds(spark):
+    cases = [("secret", "ghp_0a1b2c3d4e5f6g7h8i9j0k", "1"), ("secret", "d41d8cd98f00b204e9800998ecf8427e", "0"), ("secret", "q9w8e7r6t5y4u3i2o1p0z", "-"),
+             ("local_phone", "(212) 736-5000", "1"), ("local_phone", "212-555-0123", "0"), ("local_phone", "911-736-5000", "0"), ("local_phone", "385-736-5000", "-"),
+             ("national_id", "078-05-1120", "0"), ("national_id", "531-22-4481", "-"), ("email", "a@b.com", "1")]
+    s = F.struct(F.col("kind").alias("kind"), F.col("t").alias("text"), F.lit("").alias("left"), F.lit("").alias("right"))
+    got = spark.createDataFrame(cases, "kind string, t string, want string").select("t", "want", F.substring(pii.votes(s), 2, 1).alias("got")).collect()
+    assert [(r.t, r.got) for r in got] == [(r.t, r.want) for r in got]
+
+
+def test_pii_many_matches_in_one_text(spark):
+    n = 16_000
+    text = " ".join(f"u{i}@b.de" for i in range(n))
+    found = pii.with_candidates(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert pii.report(found, []).first().n_email == n
+    assert pii.redact(found, []).first().text == " ".join(["[EMAIL]"] * n)
+
+
 def test_em_follows_the_reliable_labelers():
     """Three labelers agree; the fourth votes at random and must not decide."""
     table = [("secret", a * 3 + b + "-", 25) for a in "10" for b in "10"]
