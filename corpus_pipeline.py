@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ladle.llm import decontam, neardup, packing, pii, quality
-from ladle.llm.common import read, stage
+from ladle.llm.common import free_name, read, stage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,9 @@ def decontam_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; the texts stay."""
-    found = pii.with_candidates(docs)
-    return pii.redact(found, pii.fit(found.select("_cands")))
+    name = free_name(docs, "_cands")
+    found = pii.with_candidates(docs, name)
+    return pii.redact(found, pii.fit(found, name=name), name)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
