@@ -349,7 +349,11 @@ def monthly_region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- metric view
 
 def _metric(spark: SparkSession, sf_dir: str, measures: list[str], by: list[str]) -> DataFrame:
-    return _rounded(SALES_METRICS.query(gold.fact_sales_orders(spark, sf_dir), measures, by))
+    return _rounded(SALES_METRICS.query(gold.fact_sales_orders(spark, sf_dir), measures, by, _kept_cells))
+
+
+def _kept_cells(cells: DataFrame) -> DataFrame:
+    return staged(cells, "cells")
 
 
 def _rounded(out: DataFrame) -> DataFrame:
@@ -383,6 +387,22 @@ def metric_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric(spark, sf_dir, ["revenue_usd", "order_count", "avg_order_value", "active_customers"], [])
 
 
+_CUTS = {"order_date,source_system": "order_date, source_system", "source_system,customer": "source_system, customer_hk", "source_system": "source_system", "": ""}
+
+
+def _cut_sql(name: str, columns: str) -> str:
+    dims = [(d if d in columns else "NULL") + f" AS {a}" for d, a in (("order_date", "order_date"), ("source_system", "source_system"), ("customer_hk", "customer"))]
+    return f"SELECT '{name}' AS cut, {', '.join(dims)}, {_MEASURES} FROM fact WHERE order_amount_usd IS NOT NULL" + (f" GROUP BY {columns}" if columns else "")
+
+
+@query("metric_lattice", with_parts(GOLD, " UNION ALL ".join(_cut_sql(*c) for c in _CUTS.items())))
+def metric_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four cuts of the metric view from one pass over the fact."""
+    cuts = [[d for d in name.split(",") if d] for name in _CUTS]
+    return _rounded(SALES_METRICS.lattice(
+        gold.fact_sales_orders(spark, sf_dir), ["revenue_usd", "order_count", "avg_order_value", "active_customers"], cuts, _kept_cells))
+
+
 # ---------------------------------------------------------------- policies
 
 @query("row_filter_region", with_parts(GOLD, """
@@ -401,7 +421,7 @@ def metric_region_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metric view over the filtered fact: a regional analyst sees regional metrics only."""
     visible = policy.filter_rows(gold.fact_sales_orders(spark, sf_dir), ["sales_analyst_europe"])
     return _rounded(SALES_METRICS.query(
-        visible, ["revenue_usd", "order_count", "avg_order_value", "active_customers"], ["source_system"]))
+        visible, ["revenue_usd", "order_count", "avg_order_value", "active_customers"], ["source_system"], _kept_cells))
 
 
 @query("row_filter_sql_function", with_parts(GOLD, """

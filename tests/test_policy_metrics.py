@@ -46,3 +46,26 @@ def test_metric_view_any_grain_and_synonyms(spark):
     assert by == {"SAP": 2, "JDE": 1}
     with pytest.raises(KeyError):
         SALES_METRICS.resolve("unknown")
+
+
+def test_metric_cuts_of_kept_cells_equal_plain_aggregates_without_expand(spark, tmp_path):
+    """Null keys and dimensions, an order of several customers, an empty source; one read of the fact for all cuts."""
+    spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'SAP' WHEN id % 7 > 0 THEN 'JDE' END AS source_system", "CASE WHEN id % 5 > 0 THEN concat('c', id * id % 37) END AS customer_hk",
+        "CASE WHEN id % 11 > 0 THEN concat('o', id % 700) END AS order_hk", "CAST(id % 13 AS DECIMAL(20,4)) AS order_amount_usd", "DATE'2024-01-01' + CAST(id % 4 AS INT) AS order_date",
+    ).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    fact.createOrReplaceTempView("metric_fact")
+    measures = ["revenue_usd", "order_count", "avg_order_value", "active_customers"]
+    cells = SALES_METRICS.cells(fact, measures, [["order_date", "erp"], ["customer"], []])
+    cells.write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    for by, columns in ((["order_date", "erp"], "order_date, source_system"), (["customer"], "customer_hk AS customer"), (["erp"], "source_system"), ([], "")):
+        got = SALES_METRICS.cut(cells, measures, by)
+        assert "Expand" not in got._jdf.queryExecution().toString()
+        want = spark.sql(f"""SELECT {columns + ',' if columns else ''} SUM(order_amount_usd), COUNT(DISTINCT order_hk), SUM(order_amount_usd) / COUNT(DISTINCT order_hk), COUNT(DISTINCT customer_hk)
+                             FROM metric_fact {'GROUP BY ALL' if columns else ''}""")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    every = SALES_METRICS.lattice(fact, measures, [["erp"], []]).collect()
+    assert {r["cut"] for r in every} == {"source_system", ""} and len(every) == 4
+    assert tuple(SALES_METRICS.query(fact.limit(0), measures).first()) == (None, 0, None, 0)
