@@ -19,6 +19,15 @@ class Measure:
     def sql(self) -> str:
         return f"{self.function}({self.column}) AS {self.name}"
 
+    def parts(self) -> dict[str, tuple[str, str]]:
+        """What is kept of the measure while its window is open: part -> (function of rows, function that merges parts)."""
+        if self.function == "avg":
+            return {f"{self.name}_sum": ("sum", "sum"), f"{self.name}_n": ("count", "sum")}
+        return {self.name: (self.function, {"count": "sum"}.get(self.function, self.function))}
+
+    def of_parts(self) -> str:
+        return f"{self.name}_sum / nullif({self.name}_n, 0) AS {self.name}" if self.function == "avg" else self.name
+
 
 @dataclass(frozen=True)
 class Rollup:
@@ -43,6 +52,21 @@ class Rollup:
         return opened.withColumn(self.key, hash_key(f"'{self.system}'", *self.fields, self.start))
 
 
+    def cells(self, rows: DataFrame) -> DataFrame:
+        """Mergeable parts of each series and window, and the last time of its rows. Rows without a time are not counted."""
+        parts = [F.expr(f"{f}({m.column}) AS {name}") for m in self.measures for name, (f, _) in m.parts().items()]
+        return rows.groupBy(F.window(self.time, self.width).alias("_span"), *self.fields).agg(*parts, F.max(self.time).alias("_last"))
+
+    def merge(self, cells: DataFrame) -> DataFrame:
+        parts = [F.expr(f"{f}({name}) AS {name}") for m in self.measures for name, (_, f) in m.parts().items()]
+        return cells.groupBy("_span", *self.fields).agg(*parts, F.max("_last").alias("_last"))
+
+    def finish(self, cells: DataFrame) -> DataFrame:
+        """The rows that :meth:`apply` gives, from merged parts."""
+        opened = cells.select(F.col("_span.start").alias(self.start), *self.fields, *[F.expr(m.of_parts()) for m in self.measures])
+        return opened.withColumn(self.key, hash_key(f"'{self.system}'", *self.fields, self.start))
+
+
 def product(rows: DataFrame, contract: tuple[tuple[str, str, str], ...]) -> DataFrame:
     """The columns a contract promises: (published name, type, source column) each."""
     return rows.select(*[F.col(source).cast(kind).alias(name) for name, kind, source in contract])

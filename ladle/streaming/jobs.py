@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ladle.operators import telemetry
 from ladle.operators.cdc import net_changes
 from ladle.operators.expectations import all_hold, failed_rules, failure_counts
+from ladle.operators.rollup import Rollup
 from ladle.sinks import VersionedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -73,6 +74,51 @@ def run_counted(stream: DataFrame, drop: dict[str, str], warn: dict[str, str], b
     return stream.sparkSession.read.parquet(f"{base}/progress")
 
 
+def run_windows(stream: DataFrame, rollup: Rollup, late_after: str, base: str, trigger: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Roll a stream up into windows and keep apart the rows that come too late for theirs: (windows, late rows).
+
+    A window is emitted once, when a time ``late_after`` beyond its end has been seen; a row whose window was emitted in an earlier
+    micro-batch, or that has no time, goes to ``late`` unchanged. What is kept of open windows are mergeable parts, folded on the
+    map side, so a series that holds most rows does not meet in one task and no Python runs; the table of parts has two slots
+    that batches use in turn. Everything is written under the number of its batch: a batch that fails and is run again reads the
+    slot and the mark of the batch before it and replaces what it wrote.
+    """
+    spark = stream.sparkSession
+    nothing = spark.createDataFrame([], stream.schema)
+    kept, done = rollup.cells(nothing).schema, rollup.finish(rollup.cells(nothing)).schema
+    spark.createDataFrame([], done).write.mode("overwrite").parquet(f"{base}/windows/_of=-1")
+    nothing.write.mode("overwrite").parquet(f"{base}/late/_of=-1")
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = spark.read.schema("mark long").parquet(f"{base}/marks/of={number - 1}").first()["mark"] if number else None
+        ended = F.col("_span.end") <= F.timestamp_micros(F.lit(before).cast("long"))
+        batch = batch.persist()
+        try:
+            placed = batch.withColumn("_span", F.window(rollup.time, rollup.width))
+            late = placed.filter(ended).drop("_span").unionByName(batch.filter(F.col(rollup.time).isNull()))
+            late.write.mode("overwrite").parquet(f"{base}/late/_of={number}")
+            cells = rollup.cells(placed.filter(~F.coalesce(ended, F.lit(False))).drop("_span"))
+            if number:
+                still = spark.read.schema(kept).parquet(f"{base}/open/slot={(number - 1) % 2}").filter(~F.coalesce(ended, F.lit(False)))
+                cells = rollup.merge(still.select(cells.columns).unionByName(cells))
+            cells.write.mode("overwrite").parquet(f"{base}/open/slot={number % 2}")
+        finally:
+            batch.unpersist()
+        cells = spark.read.schema(kept).parquet(f"{base}/open/slot={number % 2}")
+        mark = F.greatest(F.unix_micros(F.max("_last") - F.expr(f"INTERVAL '{late_after}'")), F.lit(before).cast("long"))
+        cells.agg(mark.alias("mark")).write.mode("overwrite").parquet(f"{base}/marks/of={number}")
+        now = spark.read.schema("mark long").parquet(f"{base}/marks/of={number}").first()["mark"]
+        closed = cells.filter(F.col("_span.end") <= F.timestamp_micros(F.lit(now).cast("long")))
+        rollup.finish(closed).write.mode("overwrite").parquet(f"{base}/windows/_of={number}")
+
+    query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(**(trigger or {"availableNow": True})).start())
+    query.awaitTermination()
+    return tuple(spark.read.schema(schema).option("basePath", f"{base}/{name}").parquet(f"{base}/{name}/*").drop("_of")
+                 for name, schema in (("windows", done), ("late", stream.schema)))
+
+
 def progress_events(progress: DataFrame, pipeline: Column, run: Column, flow: Column) -> DataFrame:
     """Stored progress as event rows (pipeline_id, event_type, timestamp, origin, details); batches of one run and flow add up."""
     named = progress.select(pipeline.alias("pipeline_id"), run.alias("run"), flow.alias("flow"), "rows_read", "rows_kept", "last_at", F.inline("failed"))
