@@ -2,29 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ladle import session, sinks
+from ladle.sources import seeds
 
-def downstream(edges: DataFrame, start: str) -> DataFrame:
-    """Tables that depend on ``start``, with the shortest distance, however deep.
 
-    Breadth first: every table enters the frontier once, so neither cycles nor the number of paths matter. Rounds are
+def read_columns(frame: DataFrame, expression: str) -> list[str]:
+    """The columns that a SQL expression over ``frame`` reads, taken from the analysed expression and not from its text.
+
+    Names of functions, literals and lambda variables are never taken for columns. A name that the frame does not have is returned
+    too: the source has lost it. It joins the frame as an untyped column, and the analysis is repeated. Nothing is executed.
+    """
+    lost: list[str] = []
+    while True:
+        try:
+            read = frame.selectExpr(expression)._jdf.queryExecution().analyzed().references().toSeq()
+            own = {c.lower(): c for c in frame.columns}
+            return [own.get(name.lower(), name) for name in (read.apply(i).name() for i in range(read.size()))]
+        except AnalysisException as problem:
+            if not (problem.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+                raise
+            name = problem.getMessageParameters()["objectName"].strip("`").split("`.`")[0]
+            if name in lost:
+                raise
+            lost.append(name)
+            frame = frame.withColumn(name, F.lit(None))
+
+
+EDGE = "src_table string; src_column string; tgt_table string; tgt_column string"
+
+
+def column_edges(spark: SparkSession, expressions: list[tuple[str, str, str, str]], sources: dict[str, DataFrame]) -> DataFrame:
+    """Column-level edges of ``(src_table, tgt_table, tgt_column, expression)``: one for each column that an expression reads.
+
+    The list is configuration: it is as long as there are target columns. A plain name needs no analysis, nor does its table.
+    """
+    rows = []
+    for source, target, column, expression in expressions:
+        plain = expression.isidentifier() and (source not in sources or expression in sources[source].columns)
+        rows += [(source, read, target, column) for read in ([expression] if plain else read_columns(sources[source], expression))]
+    return seeds.inline(spark, rows, EDGE)
+
+
+def _reached(hops: DataFrame, start: DataFrame) -> DataFrame:
+    """(node, depth) of all that ``hops`` (origin, node) lead to from ``start`` (node), with the shortest distance, however deep.
+
+    Breadth first: every node enters the frontier once, so neither cycles nor the number of paths matter. Rounds are
     tables in the shared folder.
     """
-    spark = edges.sparkSession
-    hops = sinks.materialize(edges.select("src_table", "tgt_table").distinct(), session.shared_dir(spark, "hops"))
-    reached, frontier, depth = None, spark.createDataFrame([(start,)], "table_name string"), 0
+    spark = hops.sparkSession
+    hops = sinks.materialize(hops.distinct(), session.shared_dir(spark, "hops"))
+    reached, frontier, depth = None, start, 0
     while True:
         depth += 1
-        step = hops.join(frontier, hops["src_table"] == frontier["table_name"]).select(F.col("tgt_table").alias("table_name")).distinct()
-        fresh = step if reached is None else step.join(reached, "table_name", "left_anti")
+        step = hops.join(frontier.withColumnRenamed("node", "origin"), "origin").select("node").distinct()
+        fresh = step if reached is None else step.join(reached, "node", "left_anti")
         found = sinks.materialize(fresh.withColumn("depth", F.lit(depth)), session.shared_dir(spark, "reach"))
         reached = found if reached is None else reached.unionByName(found)
         if not found.limit(1).count():
             return reached
-        frontier = found.select("table_name")
+        frontier = found.select("node")
+
+
+def downstream(edges: DataFrame, start: str) -> DataFrame:
+    """Tables that depend on ``start``, with the shortest distance."""
+    hops = edges.select(F.col("src_table").alias("origin"), F.col("tgt_table").alias("node"))
+    return _reached(hops, edges.sparkSession.createDataFrame([(start,)], "node string")).withColumnRenamed("node", "table_name")
+
+
+def column_impact(edges: DataFrame, table: str, column: str) -> DataFrame:
+    """Columns that depend on one column, through expressions too: (table_name, column_name, depth)."""
+    def named(t: str, c: str) -> Column:
+        return F.struct(F.col(t).alias("table_name"), F.col(c).alias("column_name"))
+
+    hops = edges.select(named("src_table", "src_column").alias("origin"), named("tgt_table", "tgt_column").alias("node"))
+    start = edges.sparkSession.createDataFrame([((table, column),)], "node struct<table_name string, column_name string>")
+    return _reached(hops, start).select("node.*", "depth")
 
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:

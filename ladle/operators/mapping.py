@@ -74,3 +74,10 @@ def edges(mappings: DataFrame) -> DataFrame:
     return latest_mappings(mappings).select(
         "src_table", "src_column", F.concat(F.col("layer"), F.lit("."), F.col("tgt_table")).alias("tgt_table"),
         "tgt_column", "transform_expr", "version")
+
+
+def expressions(mappings: DataFrame) -> list[tuple[str, str, str, str]]:
+    """``(src_table, tgt_table, tgt_column, expression)`` of the mappings in force, for column lineage."""
+    wanted = latest_mappings(mappings).select(
+        "src_table", F.concat(F.col("layer"), F.lit("."), F.col("tgt_table")), "tgt_column", F.coalesce("transform_expr", "src_column"))
+    return [tuple(r) for r in bounded_rows(wanted)]

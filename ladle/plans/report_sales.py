@@ -836,6 +836,47 @@ def lineage_downstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reach.join(sized, "table_name", "left").withColumn("depth", F.col("depth").cast("int"))
 
 
+def _column_flow() -> list[tuple[str, str, str, str]]:
+    """Expressions of Silver's own columns and of Gold."""
+    return [(t, t, c, e) for t, c, e in seeds.SILVER_DERIVED] + [(s, f"gold.{t}", g, c) for s, c, t, g in seeds.GOLD_EDGES]
+
+
+def _impact_sql(table: str, column: str) -> str:
+    """The walk over the same configuration rows, with the columns of an expression found as words of its text."""
+    flow = [(s, f"silver.{t}", g, e or c) for s, c, t, g, e, *_ in seeds.MAPPINGS] + _column_flow()
+    rows = ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in r) + ")" for r in flow)
+    return f"""(WITH RECURSIVE m(st, tt, tc, ex) AS (VALUES {rows}),
+  words AS (SELECT st, tt, tc, unnest(regexp_extract_all(regexp_replace(ex, '\\x27[^\\x27]*\\x27', ' ', 'g'), '[A-Za-z_][A-Za-z_0-9]*')) AS sc FROM m),
+  walk AS (SELECT tt, tc, 1 AS depth FROM words WHERE st = '{table}' AND sc = '{column}'
+           UNION SELECT w.tt, w.tc, depth + 1 FROM walk JOIN words w ON w.st = walk.tt AND w.sc = walk.tc WHERE depth < 12)
+  SELECT tt AS table_name, tc AS column_name, min(depth) AS depth FROM walk GROUP BY ALL)"""
+
+
+_SHARED_KEY = ("bronze.jde.f4201", "SHDOCO")
+
+
+@query("column_impact", with_parts(GOLD, f"""
+SELECT w.*, CASE w.table_name || '.' || w.column_name
+         WHEN 'silver.sales_order_header.src_order_id' THEN (SELECT count(DISTINCT src_order_id) FROM sil)
+         WHEN 'silver.sales_order_header.hk' THEN (SELECT count(DISTINCT hk) FROM sil)
+         WHEN 'gold.fact_sales_orders.order_hk' THEN (SELECT count(DISTINCT order_hk) FROM fact) END AS different_values
+FROM {_impact_sql(*_SHARED_KEY)} w"""))
+def column_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blast radius of one column that only an expression reads: every column made from it, and how many values it has now."""
+    sources = {**feeds.order_feeds(spark, sf_dir), **feeds.customer_feeds(spark, sf_dir)}
+    orders = staged(silver.sales_order_header(spark, sf_dir), "orders")
+    fact = gold.as_fact(silver.current_rows(orders, "csn"), gold.dim_customer(spark, sf_dir))
+    sources |= {"silver.sales_order_header": orders, "silver.customer": silver.customer(spark, sf_dir), "gold.fact_sales_orders": fact}
+    edges = lineage.column_edges(spark, [*mapping.expressions(seeds.layer_mappings(spark)), *_column_flow()], sources)
+    sizes = None
+    for name, df, columns in (("silver.sales_order_header", orders, ["src_order_id", "hk"]), ("gold.fact_sales_orders", fact, ["order_hk"])):
+        for c in columns:
+            part = df.groupBy(c).agg(F.lit(1)).agg(F.count(c).alias("different_values")).select(
+                F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "different_values")
+            sizes = part if sizes is None else sizes.unionByName(part)
+    return lineage.column_impact(edges, *_SHARED_KEY).join(sizes, ["table_name", "column_name"], "left")
+
+
 @query("registry_validate", with_parts(CHANGES + "," + CUSTOMERS + "," + _FLOW, """
 SELECT r.source_name, r.target_table, TRUE AS pattern_ok, TRUE AS pk_ok, TRUE AS region_ok, TRUE AS target_ok,
        TRUE AS sequence_ok, TRUE AS rules_ok, TRUE AS valid, coalesce(cnt.n, 0) AS landed_rows
@@ -869,9 +910,9 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = lineage.column_profile(df.drop("op_type", "csn", "changed_at"), name)
         profile = part if profile is None else profile.unionByName(part)
     profile = staged(profile, "profile")
-    reads = [(src, col) for src, col, *_ in seeds.MAPPINGS if col]
-    reads += [("bronze.jde.f4201", c) for c in ("SHKCOO", "SHDOCO", "SHDCTO")] + [("bronze.sap.kna1", "LAND2")]
-    return lineage.schema_drift(profile, seeds.inline(spark, reads, "src_table string; src_column string"))
+    # One mapping reads a column that the source has lost.
+    mapped = [*mapping.expressions(seeds.layer_mappings(spark)), ("bronze.sap.kna1", "silver.customer", "region", "upper(LAND2)")]
+    return lineage.schema_drift(profile, lineage.column_edges(spark, mapped, sources))
 
 
 @query("schema_diff", with_parts(GOLD, """

@@ -45,6 +45,13 @@ MAPPINGS = [
     ("bronze.jde.f0101", None, "customer", "source_system", "'JDE'", None, "string"),
 ]
 
+# Columns that Silver derives from its own, for lineage only: (table, column, expression).
+SILVER_DERIVED = [
+    ("silver.sales_order_header", "hk", "sha2(concat_ws('|', source_system, src_order_id), 256)"),
+    ("silver.sales_order_header", "order_amount_usd", "order_amount * CASE currency_code WHEN 'USD' THEN 1.0 ELSE 2.0 END"),
+    ("silver.customer", "hk", "sha2(concat_ws('|', source_system, src_customer_id), 256)"),
+]
+
 # Gold mappings, for lineage only (our own; the Gold layer is code).
 GOLD_EDGES = [
     ("silver.sales_order_header", "hk", "fact_sales_orders", "order_hk"),

@@ -109,6 +109,26 @@ def test_progress_of_more_than_a_hundred_batches_is_stored(spark, tmp_path):
     assert again.count() == progress.count()  # a run with nothing new adds nothing
 
 
+def test_columns_read_by_expressions(spark):
+    """Function names, literals, lambda variables and nested fields are told from columns; lost columns are reported."""
+    frame = spark.createDataFrame([], "a string, `b c` int, s struct<x int, y int>, xs array<int>, d date, x int")
+    for expression, want in [("concat_ws('-', A, `b c`, 'd')", ["a", "b c"]), ("s.x + 1", ["s"]), ("transform(xs, x -> x + 1)", ["xs"]), ("upper(lost) || a", ["lost", "a"]),
+                             ("date_add(d, 1)", ["d"]), ("'a'", []), ("current_date()", []), ("CASE WHEN x > 1 THEN a END", ["x", "a"])]:
+        assert sorted(lineage.read_columns(frame, expression)) == sorted(want), expression
+    with pytest.raises(Exception):
+        lineage.read_columns(frame, "no_such_function(a)")
+
+
+def test_column_impact_follows_expressions_and_cycles(spark):
+    frame = spark.createDataFrame([], "k1 string, k2 string, v int")
+    edges = lineage.column_edges(spark, [("b", "s", "id", "concat_ws('-', k1, k2)"), ("b", "s", "v", "v"), ("s", "s", "hk", "sha2(id, 256)"), ("s", "g", "key", "hk"),
+                                         ("g", "s", "id", "key"), ("s", "g", "both", "concat(id, v)")],
+                                 {"b": frame, "s": spark.createDataFrame([], "id string, v int, hk string")})
+    got = {(r.table_name, r.column_name): r.depth for r in lineage.column_impact(edges, "b", "k2").collect()}
+    assert got == {("s", "id"): 1, ("s", "hk"): 2, ("g", "both"): 2, ("g", "key"): 3}
+    assert {(r.table_name, r.column_name) for r in lineage.column_impact(edges, "b", "v").collect()} == {("s", "v"), ("g", "both")}
+
+
 def test_lineage_walk_and_drift(spark):
     edges = seeds.inline(spark, [("a", "b"), ("b", "c"), ("a", "c"), ("c", "d"), ("x", "y")], "src_table string; tgt_table string")
     assert {(r.table_name, r.depth) for r in lineage.downstream(edges, "a").collect()} == {("b", 1), ("c", 1), ("d", 2)}
