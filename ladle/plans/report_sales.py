@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scalars import date_to_day_serial, day_serial_to_date, implied_decimal, ts_text
-from ladle.operators import cdc, envelope, expectations, features, fingerprints, lineage, mapping, policy, products, quality, versions
+from ladle.operators import cdc, envelope, expectations, features, fingerprints, lineage, linkage, mapping, policy, products, quality, versions
 from ladle.operators.metrics import SALES_METRICS
 from ladle.plans import gold, silver
 from ladle.plans.oracle_parts import CHANGES, CUSTOMERS, GOLD, ORDERS, TS, with_parts
@@ -189,6 +189,53 @@ def customer_survivorship(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ["customer_name", "country", "source_system"], ["effective_ts", "csn", "cust_no"])
 
 
+LEGAL_FORMS = ["gmbh", "ltd"]
+PARTY_FIELDS = [linkage.Field("party", close=1), linkage.Field("post_code", close=1), linkage.Field("nation"),
+                linkage.Field("tax_id", common=20)]
+PARTY_BLOCKS = [
+    linkage.Block("array(tax_id)", ("substr(party, 1, 3)", "party")),
+    linkage.Block("array(concat(nation, ':', post_code))", ("substr(party, 1, 3)", "party")),
+    linkage.Block("transform(split(party, ' '), w -> concat(nation, ':', w))", ("party", "post_code")),
+]
+
+# The feed is made from the customer table, so the SQL knows which records belong together.
+_RECORDS = """
+recs AS (
+  SELECT c_custkey AS k, c_custkey * 3 + s.i AS record_id, s.i AS i
+  FROM customer, (VALUES (0), (1), (2)) s(i)
+  WHERE i = 0 OR (i = 1 AND c_custkey % 2 = 0) OR (i = 2 AND c_custkey % 3 = 0))"""
+
+
+def _party_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = staged(feeds.party_records(spark, sf_dir), "parties")
+    named = records.withColumn("party", F.array_join(linkage.words("name", LEGAL_FORMS), " "))
+    return linkage.resolve(named, "record_id", PARTY_FIELDS, PARTY_BLOCKS).join(records, "record_id")
+
+
+@query("party_entities", f"""
+WITH {_RECORDS}
+SELECT record_id, k * 3 AS entity_id, count(*) OVER (PARTITION BY k) AS members FROM recs""")
+def party_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every party record with its entity, found by learned record linkage."""
+    return _party_entities(spark, sf_dir).select("record_id", "entity_id", "members")
+
+
+@query("party_golden", """
+WITH c AS (
+  SELECT c_custkey AS k, CAST(c_nationkey AS VARCHAR) AS nation, md5(CAST(if(c_custkey % 29 = 0, c_custkey + 1, c_custkey) AS VARCHAR)) AS h,
+         'T' || substr(md5('tax' || c_custkey), 1, 12) AS tax FROM customer),
+w AS (SELECT *, translate(substr(h, 1, 7), '0123456789abcdef', 'bdfgklmnprstvzae') AS w1,
+             translate(substr(h, 9, 6), '0123456789abcdef', 'bdfgklmnprstvzae') AS w2 FROM c)
+SELECT k * 3 AS entity_id, upper(w1[1]) || w1[2:] || ' ' || upper(w2[1]) || w2[2:] || ' GmbH' AS name,
+       lpad(CAST(k * 7919 % 100000 AS VARCHAR), 5, '0') AS post_code, nation,
+       CASE WHEN k % 10 <> 3 THEN tax WHEN k % 3 = 0 THEN '000000000' END AS tax_id,
+       CAST(1 + (k % 2 = 0)::INT + (k % 3 = 0)::INT AS BIGINT) AS contributors FROM w""")
+def party_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivorship on matched entities: the best source of each column, over all records of an entity."""
+    return versions.survivor(_party_entities(spark, sf_dir), ["entity_id"], seeds.SOURCE_PRIORITY,
+                             ["name", "post_code", "nation", "tax_id"], ["record_id"])
+
+
 @query("version_noop_suppressed", with_parts(CUSTOMERS, f"""
 SELECT hk, CAST(csn AS BIGINT) AS csn, strftime(effective_ts, '{TS}') AS effective_ts, record_hash FROM (
   SELECT *, lag(record_hash) OVER (PARTITION BY hk ORDER BY effective_ts, csn) AS prev FROM cus)

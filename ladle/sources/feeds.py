@@ -138,3 +138,30 @@ def broker_records(events: DataFrame) -> DataFrame:
     return events.select(
         F.concat_ws("/", F.lit("plant"), site, _case(kind, PLANT_AREAS), leaf).alias("topic"),
         F.when(is_mes, mes).otherwise(telemetry).alias("value"), ts.alias("timestamp"))
+
+
+FILLER_TAX = "000000000"
+
+
+def party_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as three systems know them: record_id, source_system, name, post_code, nation, tax_id.
+
+    The first system knows all, the second every other and the third every third customer. Names lose a letter, change case, legal
+    form and the order of words; a digit of some post codes is wrong; tax numbers are absent or a filler that many share; and
+    some customers bear another customer's name. Records of customer k have ids from 3 * k.
+    """
+    base = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "cast(c_nationkey AS string) AS nation").selectExpr(
+        "k", "nation", "md5(cast(if(k % 29 = 0, k + 1, k) AS string)) AS h", "lpad(cast(k * 7919 % 100000 AS string), 5, '0') AS post",
+        "concat('T', substr(md5(concat('tax', k)), 1, 12)) AS tax").selectExpr(
+        "*", "translate(substr(h, 1, 7), '0123456789abcdef', 'bdfgklmnprstvzae') AS w1",
+        "translate(substr(h, 9, 6), '0123456789abcdef', 'bdfgklmnprstvzae') AS w2")
+    sap = base.selectExpr("k * 3 AS record_id", "'SAP' AS source_system", "concat(initcap(w1), ' ', initcap(w2), ' GmbH') AS name",
+                          "post AS post_code", "nation", "if(k % 10 = 3, NULL, tax) AS tax_id")
+    jde = base.filter("k % 2 = 0").selectExpr(
+        "k * 3 + 1", "'JDE'", "concat(upper(if(k % 4 = 0, concat(substr(w1, 1, 4), substr(w1, 6)), w1)), ' ', upper(w2), ', LTD.')",
+        "post", "nation", "if(k % 6 = 0, NULL, tax)")
+    qad = base.filter("k % 3 = 0").selectExpr(
+        "k * 3 + 2", "'QAD'", "concat(w2, ' ', w1)",
+        "if(k % 9 = 0, concat(substr(post, 1, 4), cast((cast(substr(post, 5) AS int) + 1) % 10 AS string)), post)", "nation",
+        f"if(k % 5 = 0, tax, '{FILLER_TAX}')")
+    return sap.union(jde).union(qad)
