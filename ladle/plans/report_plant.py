@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scalars import ts_text
-from ladle.operators import eventlog, expectations, fingerprints, lineage, policy, products, quality, telemetry, trust, vector_index, vectors
+from ladle.operators import changes, eventlog, expectations, fingerprints, lineage, policy, products, quality, telemetry, trust, vector_index, vectors
 from ladle.operators.cdc import snapshot_diff
 from ladle.operators.versions import current_rows
 from ladle.plans import gold, report_sales, silver
@@ -543,6 +543,36 @@ def dq_rca(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.root_cause(history, volumes)
 
 
+_CHANGES_SQL = """,
+cp_obs AS (
+  SELECT table_name || '/' || dimension AS series, batch_id, CAST(score AS DOUBLE) AS x FROM dq WHERE score IS NOT NULL
+  UNION ALL SELECT table_name || '/rows', batch_id, CAST(max(total) AS DOUBLE) FROM dq GROUP BY ALL),
+cp_num AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY batch_id) AS n FROM cp_obs),
+cp_mid AS (SELECT series, median(x) AS centre FROM cp_num WHERE n <= 12 GROUP BY 1),
+cp_wid AS (SELECT series, any_value(centre) AS centre, median(abs(x - centre)) AS spread FROM cp_num JOIN cp_mid USING (series) WHERE n <= 12 GROUP BY 1),
+cp_z AS (
+  SELECT series, batch_id, CAST(round(greatest(least((x - centre) / greatest(spread * 1.4826::DOUBLE, abs(centre) * 0.01::DOUBLE, 1e-9::DOUBLE), 4.0::DOUBLE), -4.0::DOUBLE)
+                                * 1000000) AS BIGINT) AS z FROM cp_num JOIN cp_wid USING (series)),
+cp_steps AS (SELECT series, batch_id, d.direction, CASE d.direction WHEN 'up' THEN z ELSE -z END - 500000 AS step
+       FROM cp_z, (VALUES ('up'), ('down')) d(direction)),
+cp_totals AS (SELECT *, CAST(sum(step) OVER (PARTITION BY series, direction ORDER BY batch_id) AS BIGINT) AS total FROM cp_steps),
+cp_sums AS (SELECT *, total - least(0, min(total) OVER (PARTITION BY series, direction ORDER BY batch_id)) AS s FROM cp_totals),
+cp_stretches AS (SELECT *, count(*) FILTER (s = 0) OVER (PARTITION BY series, direction ORDER BY batch_id) AS stretch FROM cp_sums)"""
+
+
+@query("dq_change_points", with_parts(DQ_MONTHLY + _CHANGES_SQL, """
+SELECT series, direction, min(batch_id) AS first_bad, min(batch_id) FILTER (s > 5000000) AS alarmed_at, max(batch_id) AS last_bad,
+       count(*) AS runs, max(s) / 1000000.0::DOUBLE AS peak
+FROM cp_stretches WHERE s > 0 GROUP BY series, direction, stretch HAVING count(*) FILTER (s > 5000000) > 0"""))
+def dq_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where scores and row counts of the monthly runs left their baseline, found in sequence rather than by a fixed factor."""
+    history = staged(_dq_history(spark, sf_dir).select("table_name", "dimension", "batch_id", "score", "total"), "history")
+    scores = history.select(F.concat_ws("/", "table_name", "dimension").alias("series"), "batch_id", F.col("score").alias("x"))
+    volumes = history.groupBy("table_name", "batch_id").agg(F.max("total").alias("rows")).select(
+        F.concat("table_name", F.lit("/rows")).alias("series"), "batch_id", F.col("rows").cast("double").alias("x"))
+    return changes.change_points(scores.union(volumes), ["series"], "batch_id", "x")
+
+
 @query("post_load_checks", with_parts(GOLD + "," + _dq_rows("run-1", RUN_AT, False), """
 SELECT 'sources are registered' AS check_name, CAST(12 AS BIGINT) AS got, '>= 6' AS want, TRUE AS ok
 UNION ALL SELECT 'landed records carry the envelope', count(*) FILTER (k IS NULL), '== 0', TRUE FROM chg

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scalars import date_to_day_serial, day_serial_to_date, implied_decimal, ts_text
-from ladle.operators import cdc, envelope, expectations, features, fingerprints, lineage, linkage, mapping, policy, products, quality, versions
+from ladle.operators import cdc, envelope, expectations, features, fingerprints, layout, lineage, linkage, mapping, policy, products, quality, versions
 from ladle.operators.metrics import SALES_METRICS
 from ladle.plans import gold, silver
 from ladle.plans.oracle_parts import CHANGES, CUSTOMERS, GOLD, ORDERS, TS, with_parts
@@ -374,6 +374,27 @@ def fact_clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("orders"), F.sum("order_amount_usd").cast("double").alias("revenue_usd"))
 
 
+@query("fact_curve_layout", with_parts(GOLD + """,
+pick AS (SELECT min(customer_hk) AS lo, substr(min(customer_hk), 1, 2) || 'zz' AS hi FROM fact)""", """
+SELECT 'order_date' AS filtered_by, count(*) AS orders, CAST(sum(order_amount_usd) AS DOUBLE) AS revenue_usd
+FROM fact WHERE order_date >= DATE '1998-01-01' AND order_date < DATE '1998-04-01'
+UNION ALL SELECT 'customer_hk', count(*), CAST(sum(order_amount_usd) AS DOUBLE) FROM fact, pick WHERE customer_hk >= lo AND customer_hk < hi
+UNION ALL SELECT 'customer_hk IS NULL', count(*), CAST(sum(order_amount_usd) AS DOUBLE) FROM fact WHERE customer_hk IS NULL"""))
+def fact_curve_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the fact along the curve over (order_date, customer_hk), then read it back by either column alone."""
+    fact = staged(gold.fact_sales_orders(spark, sf_dir), "fact")
+    stored = layout.write_curve(fact, shared_dir(spark, "fact-curve"), ["order_date", "customer_hk"])
+    low = stored.agg(F.min("customer_hk").alias("lo")).first()["lo"] or ""
+    filters = {
+        "order_date": F.col("order_date").between(F.lit("1998-01-01").cast("date"), F.lit("1998-03-31").cast("date")),
+        "customer_hk": (F.col("customer_hk") >= low) & (F.col("customer_hk") < low[:2] + "zz"),
+        "customer_hk IS NULL": F.col("customer_hk").isNull(),
+    }
+    parts = [stored.filter(kept).agg(F.count("*").alias("orders"), F.sum("order_amount_usd").cast("double").alias("revenue_usd")).select(
+        F.lit(name).alias("filtered_by"), "orders", "revenue_usd") for name, kept in filters.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("monthly_region_revenue", """
 SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m') AS order_month, r_name AS region,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, count(*) AS orders
