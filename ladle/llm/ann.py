@@ -3,7 +3,7 @@
 Distinct vectors are dealt by hash into shards of about ``SHARD`` and each shard builds one graph: points are inserted in
 batches, a greedy search on the graph so far proposes their neighbours, and relaxed pruning keeps an edge only if no kept
 edge leads to a point that is ALPHA times nearer to its end. Inner product becomes distance by one more coordinate
-that gives all points of a shard the same norm. Queries go in blocks through a beam search on every shard; the best of all
+that gives all points of a shard the same norm. Queries go through a beam search on every shard; the best of all
 shards are merged. Scores are inner products of the original vectors in double precision.
 
 Equal vectors are one point that carries its k + 1 smallest ids: no answer can hold more of them. Points that no search
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from ladle.llm import common
 
-SHARD, DEGREE, BUILD_BEAM, ALPHA = 4096, 32, 64, 1.2
-BEAM, QUERY_BLOCK = 128, 2048
+SHARD, DEGREE, BUILD_BEAM, ALPHA = 16384, 32, 64, 1.2
+BEAM = 128
 
 
 def usable(v: Column) -> Column:
@@ -95,7 +95,7 @@ def prune(points: np.ndarray, at: np.ndarray, candidates: np.ndarray, degree: in
     there = points[np.maximum(candidates, 0)]
     far = np.where(candidates < 0, np.inf, ((there - own[:, None]) ** 2).sum(2))
     squares = (there ** 2).sum(2)
-    between = squares[:, :, None] + squares[:, None, :] - 2 * np.einsum("bcd,bed->bce", there, there)
+    between = squares[:, :, None] + squares[:, None, :] - 2 * np.matmul(there, there.transpose(0, 2, 1))
     left, out = far.copy(), np.full((len(at), degree), -1, np.int64)
     rows = np.arange(len(at))
     for k in range(degree):
@@ -179,7 +179,7 @@ def _reach_all(graph: Graph) -> Graph:
 
 
 def _build_task(table: pa.Table) -> pa.Table:
-    vectors = np.array(table.column("vector").to_pylist(), np.float32)
+    vectors = np.asarray(table.column("vector").combine_chunks().flatten(), np.float32).reshape(table.num_rows, -1)
     graph = build(vectors)
     return pa.table({
         "dim": pa.array([vectors.shape[1]], pa.int32()), "shard": table.column("shard").slice(0, 1).cast(pa.int32()), "points": pa.array([vectors.tobytes()], pa.binary()),
@@ -188,21 +188,30 @@ def _build_task(table: pa.Table) -> pa.Table:
 
 
 def _search_task(k: int, beam: int):
+    """Rows come by shard, its graph before the queries that visit it."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph, members = None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                points = np.frombuffer(r["points"], np.float32).reshape(-1, r["dim"])
-                edges = np.frombuffer(r["edges"], np.int32).reshape(len(points), -1).astype(np.int64)
-                graph = Graph(points, edges, r["entry"])
-                for lo in range(0, len(r["query_ids"]), 256):
-                    own = r["query_ids"][lo:lo + 256]
-                    queries = np.array(r["queries"][lo:lo + 256], np.float32)
+            heads = np.flatnonzero(np.asarray(batch.column("points").is_valid()))
+            for lo, hi in zip([0, *heads.tolist()], [*heads.tolist(), batch.num_rows]):
+                if lo == hi:
+                    continue
+                if lo in heads:
+                    r = batch.slice(lo, 1).to_pylist()[0]
+                    points = np.frombuffer(r["points"], np.float32).reshape(-1, r["dim"])
+                    graph = Graph(points, np.frombuffer(r["edges"], np.int32).reshape(len(points), -1).astype(np.int64), r["entry"])
+                    members = r["members"]
+                    lo += 1
+                for at in range(lo, hi, 256):
+                    part = batch.slice(at, min(256, hi - at))
+                    own = part.column("query_id").to_pylist()
+                    queries = np.asarray(part.column("query").flatten(), np.float32).reshape(len(own), -1)
                     ids, _ = graph.search(queries, beam)
                     ids = ids[:, :k + 1]
-                    exact = np.einsum("qcd,qd->qc", points[np.maximum(ids, 0)].astype(np.float64), queries.astype(np.float64))
+                    exact = np.einsum("qcd,qd->qc", graph.points[np.maximum(ids, 0)].astype(np.float64), queries.astype(np.float64))
                     rows = []
                     for q, found, scores in zip(own, ids, exact):
-                        hits = sorted((-s, v) for i, s in zip(found.tolist(), scores.tolist()) if i >= 0 for v in r["members"][i] if v != q)[:k]
+                        hits = sorted((-s, v) for i, s in zip(found.tolist(), scores.tolist()) if i >= 0 for v in members[i] if v != q)[:k]
                         rows += [(q, v, -s) for s, v in hits]
                     if rows:
                         a, b, c = zip(*rows)
@@ -222,21 +231,21 @@ def index(vectors: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
     points = common.stage(few.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn("dim", F.size("vector")), "points")
     shards = points.groupBy("dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
     dealt = points.join(shards, "dim").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int"))
-    return common.stage(dealt.select("dim", "shard", "vector", "ids").groupBy("dim", "shard").applyInArrow(
+    # A graph takes minutes and its rows few bytes: left to sizes, a small table's graphs would all be built in one task.
+    tasks = 2 * (shards.agg(F.sum("shards")).first()[0] or 1)
+    return common.stage(dealt.select("dim", "shard", "vector", "ids").repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(
         _build_task, "dim int, shard int, points binary, edges binary, entry int, members array<array<bigint>>"), "graphs")
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = BEAM, block: int = QUERY_BLOCK) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = BEAM, shard: int = SHARD) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query (rows like ``vectors``)."""
-    graphs = index(vectors, k)
-    asked = common.stage(_clean(queries).withColumn("dim", F.size("vector")), "queries")
-    blocks = asked.groupBy("dim").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    blocks = asked.join(blocks, "dim").groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("part")).agg(
-        F.collect_list(F.struct("vec_id", "vector")).alias("q")).select(
-        "dim", "part", F.transform("q", lambda x: x["vec_id"]).alias("query_ids"), F.transform("q", lambda x: x["vector"]).alias("queries"))
-    # Every block of queries visits every shard: one row for each visit, joined by the shard it goes to.
+    graphs = index(vectors, k, shard)
+    asked = _clean(queries).select(F.size("vector").alias("dim"), F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
+    # Every query visits every shard of its length. A graph travels once, ahead of its visitors, however many they are.
     shards = graphs.groupBy("dim").agg(F.collect_set("shard").alias("shards"))
-    visits = blocks.join(shards, "dim").select("dim", "part", "query_ids", "queries", F.explode("shards").alias("shard"))
-    found = graphs.join(visits, ["dim", "shard"]).mapInArrow(_search_task(k, beam), "query_id long, vec_id long, score double")
+    visits = asked.join(shards, "dim").withColumn("shard", F.explode("shards")).drop("shards")
+    flow = graphs.unionByName(visits, allowMissingColumns=True).repartition(2 * max(1, graphs.count()), "dim", "shard").sortWithinPartitions(
+        "dim", "shard", F.col("points").isNull())
+    found = flow.mapInArrow(_search_task(k, beam), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

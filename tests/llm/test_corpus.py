@@ -123,6 +123,18 @@ def test_ann_recall_ties_and_odd_vectors(spark):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_ann_few_large_graphs_in_several_tasks(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((5000, 4)))], "vec_id long, embedding array<float>")
+    # A query visits every graph: a table five times as large must not have five times as many of them.
+    assert ann.index(df, 20).count() == 1
+    few = df.filter("vec_id < 800")
+    graphs = ann.index(few, 20, shard=50)
+    assert graphs.count() == 16 and len(graphs.inputFiles()) > 4
+    split = ann.search(few, few.filter("vec_id % 20 = 0"), k=5, shard=50)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, ann.search(few, few.filter("vec_id % 20 = 0"), k=5).collect()))
+
+
 def base_spans(text):
     out = []
     for k, p in enumerate([r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]):
