@@ -6,7 +6,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,6 +17,8 @@ QUESTIONS_AT_ONCE = 4096
 MAX_LABELS = 4096
 NOT_TOKEN = r"[^\p{L}\p{N}]+"
 TEXTS_AT_ONCE = 1024
+BYTES_AT_ONCE = 1 << 20
+VECTORS_AT_ONCE = 1024
 
 
 def token_matrix(texts: pa.Array) -> np.ndarray:
@@ -41,12 +42,25 @@ def token_vector(text: str) -> np.ndarray:
     return token_matrix(pa.array([text], pa.string()))[0]
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def embed(texts: pd.Series) -> pd.Series:
-    rows: list[np.ndarray] = []
-    for start in range(0, len(texts), TEXTS_AT_ONCE):
-        rows.extend(token_matrix(pa.array(texts.iloc[start:start + TEXTS_AT_ONCE], pa.string())))
-    return pd.Series(rows, index=texts.index, dtype=object)
+def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of at most TEXTS_AT_ONCE texts and about BYTES_AT_ONCE bytes, at least one text each."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64))
+    start = 0
+    while start < len(texts):
+        base = ends[start - 1] if start else 0
+        end = min(max(int(np.searchsorted(ends, base + BYTES_AT_ONCE, "right")), start + 1), start + TEXTS_AT_ONCE)
+        yield texts.slice(start, end - start)
+        start = min(end, len(texts))
+
+
+@F.arrow_udf(T.ArrayType(T.FloatType()))
+def embed(texts: pa.Array) -> pa.Array:
+    cells = np.empty(len(texts) * DIMENSIONS, dtype=np.float32)
+    at = 0
+    for piece in _pieces(texts):
+        cells[at:at + len(piece) * DIMENSIONS] = token_matrix(piece).reshape(-1)
+        at += len(piece) * DIMENSIONS
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(cells) + 1, DIMENSIONS, dtype=np.int32)), pa.array(cells))
 
 
 def embed_column(text: Column | str) -> Column:
@@ -88,7 +102,7 @@ def top_k(index: DataFrame, key: str, vector: str, questions: dict[str, list[flo
     """``(question, key, score)``: the k nearest vectors of every question, exactly.
 
     The question list is the caller's; it travels with the task, which works through it in blocks, so the index is read
-    once. Each Arrow batch is scored by one matrix product per block and cut to k rows per question before anything
+    once. Slices of an Arrow batch are scored by one matrix product per block and cut to k rows per question before anything
     is shuffled, so neither pairs nor the index ever move. Ties go to the smaller key. A NULL vector
     scores 0; a vector of another width than the questions cannot be compared and takes no part.
     """
@@ -98,7 +112,7 @@ def top_k(index: DataFrame, key: str, vector: str, questions: dict[str, list[flo
     key_type = dict(index.dtypes)[key]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, VECTORS_AT_ONCE) for b in batches for at in range(0, b.num_rows, VECTORS_AT_ONCE)):
             # Widths are checked here: a filter above the scan would evaluate the vector's expression a second time.
             fits = np.asarray(pc.fill_null(pc.equal(pc.list_value_length(batch.column(1)), width), True))
             if not fits.any():

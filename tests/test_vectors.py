@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ladle.operators import vectors
 
@@ -62,3 +64,15 @@ def test_index_sync_embeds_only_changes(spark):
     feed = spark.createDataFrame([("a", "new text", "update"), ("c", None, "delete"), ("d", "fresh", "insert")], "k string, t string, change_type string")
     got = {r.k: (r.t, len(r.v)) for r in vectors.sync_index(index, feed, "k", "t", "v").collect()}
     assert got == {"a": ("new text", 256), "b": ("keep", 1), "d": ("fresh", 256)}
+
+
+def test_embedding_of_many_long_texts_is_bounded(spark):
+    texts = pa.array(["aa bb " * 100_000, None, "", *["cc dd"] * 3000])
+    pieces = list(vectors._pieces(texts))
+    assert pa.concat_arrays(pieces).equals(texts)
+    assert all(len(p) == 1 or len(p) <= vectors.TEXTS_AT_ONCE and p.nbytes <= 2 * vectors.BYTES_AT_ONCE for p in pieces)
+    assert len(list(vectors._pieces(pa.array(["x" * vectors.BYTES_AT_ONCE] * 3)))) == 3
+    want = vectors.token_matrix(texts)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts.to_pylist())], "id long, text string").repartition(2)
+    got = df.select(vectors.embed_column("text").alias("v"), "id").orderBy("id").collect()
+    assert np.array([r["v"] for r in got]).tolist() == want.tolist()
