@@ -179,7 +179,7 @@ def register_search_function(spark: SparkSession, index: DataFrame, key: str, te
         RETURNS TABLE (customer_hk STRING, profile_text STRING, score DOUBLE)
         RETURN SELECT customer_hk, profile_text, score FROM (
             SELECT customer_hk, profile_text, round(coalesce({both} / nullif(sqrt({left}) * sqrt({right}), 0D), 0D), 6) AS score
-            FROM (SELECT *, embed_text(question) AS q FROM ladle_profile_index))
+            FROM ladle_profile_index CROSS JOIN (SELECT embed_text(question) AS q))
         ORDER BY score DESC, customer_hk LIMIT {k}""")
 
 

@@ -76,3 +76,13 @@ def test_embedding_of_many_long_texts_is_bounded(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts.to_pylist())], "id long, text string").repartition(2)
     got = df.select(vectors.embed_column("text").alias("v"), "id").orderBy("id").collect()
     assert np.array([r["v"] for r in got]).tolist() == want.tolist()
+
+
+def test_sql_function_embeds_the_question_once(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["aa bb " * 9, None, "", *["cc dd"] * 3000])], "id long, text string")
+    profiles = df.select(F.col("id").cast("string").alias("k"), F.coalesce("text", F.lit("")).alias("t")).withColumn("v", vectors.embed_column("t"))
+    vectors.register_search_function(spark, profiles, "k", "t", "v")
+    found = spark.sql("SELECT * FROM search_customer_profiles('dd aa')")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "ArrowEvalPython" in line and "embed_text" in line and "embed(" in line]
+    assert "BroadcastNestedLoopJoin" in plan and [r["customer_hk"] for r in found.collect()] == ["0", "10", "100", "1000", "1001"]
