@@ -37,15 +37,20 @@ class MetricView:
         used = {word for m in measures for word in re.findall(r"[A-Za-z_]\w*", self.measures[self.resolve(m)])}
         return [s for s in self.sums if s in used], [d for d in self.distincts if d in used]
 
+    def _held_by(self, key: str, dims: list[str]) -> str:
+        """The column of cells that has the values of a counted key: a dimension of the same expression, else its own."""
+        return next((d for d in dims if self.dimensions.get(d) == self.distincts[key]), key)
+
     def cells(self, source: DataFrame, measures: list[str], cuts: list[list[str]]) -> DataFrame:
         """The finest cells that all ``cuts`` can be taken from: one row per value of their dimensions and of the counted keys.
 
-        This is the one pass over the source. Values of a key stay apart, so that every distinct count is exact.
+        This is the one pass over the source. Values of a key stay apart, so that every distinct count is exact; a key that is
+        also a dimension is held, shuffled and stored once.
         """
         sums, keys = self._states(measures)
         dims = list(dict.fromkeys(self.resolve(d) for by in cuts for d in by))
         rows = source.filter(self.base_filter) if self.base_filter else source
-        group = [F.expr(self.dimensions[d]).alias(d) for d in dims] + [F.expr(self.distincts[k]).alias(k) for k in keys]
+        group = [F.expr(self.dimensions[d]).alias(d) for d in dims] + [F.expr(self.distincts[k]).alias(k) for k in keys if self._held_by(k, dims) == k]
         folded = [F.sum(F.expr(self.sums[s])).alias(s) for s in sums]
         return rows.groupBy(*group).agg(*folded) if folded else rows.select(*group).distinct()
 
@@ -63,7 +68,7 @@ class MetricView:
             return F.sum(s).cast(kinds[s]).alias(s)
 
         def folded(key: str, first: bool) -> DataFrame:
-            taken = cells.groupBy(*dims, key)
+            taken = cells.groupBy(*dims, F.col(self._held_by(key, cells.columns)).alias(key))
             one = taken.agg(*map(total, sums)) if first and sums else taken.agg(F.lit(True).alias("_")).drop("_")
             return one.withColumn(key, F.col(key).isNotNull().cast("long"))
 

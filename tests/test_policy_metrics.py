@@ -69,3 +69,13 @@ def test_metric_cuts_of_kept_cells_equal_plain_aggregates_without_expand(spark,
     every = SALES_METRICS.lattice(fact, measures, [["erp"], []]).collect()
     assert {r["cut"] for r in every} == {"source_system", ""} and len(every) == 4
     assert tuple(SALES_METRICS.query(fact.limit(0), measures).first()) == (None, 0, None, 0)
+
+
+def test_key_that_is_a_dimension_is_held_once(spark):
+    fact = spark.createDataFrame([("o1", "c1", "S", 1), ("o2", "c1", "S", 2), ("o3", None, "S", 4), ("o3", "c2", "T", None)],
+                                 "order_hk string, customer_hk string, source_system string, order_amount_usd long").withColumn("order_date", F.lit(None).cast("date"))
+    measures = ["revenue_usd", "order_count", "active_customers"]
+    assert set(SALES_METRICS.cells(fact, measures, [["customer"], []]).columns) == {"customer", "orders", "amount"}
+    assert set(SALES_METRICS.cells(fact, measures, [["erp"]]).columns) == {"source_system", "orders", "customers", "amount"}
+    rows = SALES_METRICS.lattice(fact, measures, [["customer"], []]).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([("customer", "c1", 3, 2, 1), ("customer", None, 4, 1, 0), ("", None, 7, 3, 1)], key=str)
