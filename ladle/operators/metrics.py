@@ -9,6 +9,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _compact(kind: T.DataType, key: Column) -> Column:
+    """Bytes that differ where strings differ, half as many where they are lowercase hex digits (hash keys); other types as they are."""
+    if kind != T.StringType():
+        return key
+    return F.when(F.lower(F.hex(F.unhex(key))) == key, F.concat(F.lit(b"\x01"), F.unhex(key))).otherwise(F.concat(F.lit(b"\x00"), key.cast("binary")))
 
 
 @dataclass(frozen=True)
@@ -45,14 +53,17 @@ class MetricView:
         """The finest cells that all ``cuts`` can be taken from: one row per value of their dimensions and of the counted keys.
 
         This is the one pass over the source. Values of a key stay apart, so that every distinct count is exact; a key that is
-        also a dimension is held, shuffled and stored once.
+        also a dimension is held, shuffled and stored once, and one that is only counted is kept in fewer bytes.
         """
         sums, keys = self._states(measures)
         dims = list(dict.fromkeys(self.resolve(d) for by in cuts for d in by))
         rows = source.filter(self.base_filter) if self.base_filter else source
-        group = [F.expr(self.dimensions[d]).alias(d) for d in dims] + [F.expr(self.distincts[k]).alias(k) for k in keys if self._held_by(k, dims) == k]
+        own = [k for k in keys if self._held_by(k, dims) == k]
+        group = [F.expr(self.dimensions[d]).alias(d) for d in dims] + [F.expr(self.distincts[k]).alias(k) for k in own]
         folded = [F.sum(F.expr(self.sums[s])).alias(s) for s in sums]
-        return rows.groupBy(*group).agg(*folded) if folded else rows.select(*group).distinct()
+        cells = rows.groupBy(*group).agg(*folded) if folded else rows.select(*group).distinct()
+        # Only now: a source that lies by the key itself is folded where it lies.
+        return cells.withColumns({k: _compact(cells.schema[k].dataType, F.col(k)) for k in own})
 
     def cut(self, cells: DataFrame, measures: list[str], by: list[str] | None = None) -> DataFrame:
         """Measures by some of the dimensions of ``cells``.

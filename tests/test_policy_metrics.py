@@ -79,3 +79,13 @@ def test_key_that_is_a_dimension_is_held_once(spark):
     assert set(SALES_METRICS.cells(fact, measures, [["erp"]]).columns) == {"source_system", "orders", "customers", "amount"}
     rows = SALES_METRICS.lattice(fact, measures, [["customer"], []]).collect()
     assert sorted(map(tuple, rows), key=str) == sorted([("customer", "c1", 3, 2, 1), ("customer", None, 4, 1, 0), ("", None, 7, 3, 1)], key=str)
+
+
+def test_counted_keys_stay_different_in_fewer_bytes(spark):
+    keys = ["ab" * 32, "AB" * 32, "ab" * 31 + "cd", "", "0", "00", "abc", "0abc", "zz", "é", "\x00", "\x01", "01", "0100"]
+    fact = spark.createDataFrame([(k, "c", "S", 1) for k in [*keys, *keys, None]], "order_hk string, customer_hk string, source_system string, order_amount_usd long")
+    cells = SALES_METRICS.cells(fact, ["order_count"], [["erp"]])
+    assert sorted(len(r["orders"]) for r in cells.filter("orders IS NOT NULL").collect())[-3:] == [33, 33, 65] and cells.count() == len(keys) + 1
+    assert SALES_METRICS.query(fact, ["order_count"], ["erp"]).first()["order_count"] == len(keys)
+    numbers = fact.withColumn("order_hk", F.length("order_hk"))
+    assert dict(SALES_METRICS.cells(numbers, ["order_count"], [["erp"]]).dtypes)["orders"] == "int"
